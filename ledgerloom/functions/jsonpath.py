@@ -19,8 +19,10 @@ def json_scalar(col: Column, path: str) -> Column:
     """
     value = F.get_json_object(col, path)
     kind = _kind(F.try_parse_json(col), path)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(value.rlike(r"^\s*[\[{]") & F.coalesce(nested, F.lit(True)), F.lit(None)).otherwise(value)
+    nested = F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(True))
+    looks_nested = F.left(value, F.lit(1)).isin("{", "[")
+    # Joined to an empty text or NULL instead of chosen by a CASE: so the path is looked up once per row.
+    return F.concat(value, F.when(looks_nested & nested, F.lit(None)).otherwise(F.lit("")))
 
 
 def json_value(record: Column, path: str) -> Column:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 ACCENTED = "ÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯư" + "".join(map(chr, range(0x1EA0, 0x1EFA)))
 PLAIN = "".join({"Đ": "D", "đ": "d"}.get(c) or unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
 
-# Fixed value: what counts as an e-mail address.
-EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+# Fixed value: what counts as an e-mail address (``(?U)``: word boundaries know accented letters).
+EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 
 # The URL shapes that carry a document or folder id, tried in this order.
 DOCUMENT_PATHS = (
@@ -36,8 +36,13 @@ SHARED_DRIVES = "/drive/shared-drives/"
 
 def contains_words(col: Column, words: Sequence[str]) -> Column:
     """Does the text hold any of the words, as whole words, in any case?"""
-    options = "|".join(rf"\b{re.escape(w)}\b" for w in words)
-    return F.lower(col).rlike(f"(?i){options}")
+    return F.lower(col).rlike("(?iu)" + "|".join(f"(?:{_whole_word(w)})" for w in words))
+
+
+def _whole_word(word: str) -> str:
+    """The word between word boundaries in the ASCII sense, whatever the JVM takes ``\\b`` for."""
+    ahead, behind = ("!" if re.match(r"\w", c, re.ASCII) else "=" for c in (word[-1], word[0]))
+    return f"(?<{behind}[0-9A-Za-z_]){re.escape(word)}(?{ahead}[0-9A-Za-z_])"
 
 
 def remove_accents(col: Column) -> Column:
@@ -45,8 +50,8 @@ def remove_accents(col: Column) -> Column:
 
 
 def strip_symbols(col: Column) -> Column:
-    """Keep ASCII letters, digits and white space."""
-    return F.regexp_replace(col, r"[^a-zA-Z0-9\s]", "")
+    """Keep ASCII letters, digits and white space of any script."""
+    return F.regexp_replace(col, r"[^a-zA-Z0-9\t-\r\x1c-\x1f\x85\p{Z}]", "")
 
 
 def clean_text(col: Column) -> Column:

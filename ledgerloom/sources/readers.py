@@ -43,27 +43,33 @@ def load_grid(
     columns: tuple[int, int] | None = None,
     rows: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """One sheet stored as CSV text whose column names stand in row ``header_row``; rows above it are dropped.
+    """Sheets stored as CSV text whose column names stand in row ``header_row``; rows above it are dropped.
 
-    ``columns`` and ``rows`` (first and last, counted from 1) cut a range out of the sheet first, and ``header_row``
-    then counts from the first row of the range. Every column is text. Cells must not hold line breaks.
+    A folder may hold several files of the same layout. ``columns`` and ``rows`` (first and last, counted from 1) cut
+    a range out of a single sheet first, and ``header_row`` then counts from the first row of the range. Every column
+    is text. Cells must not hold line breaks.
     """
     lines = spark.read.text(path).select(
         "value",
+        F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_place"),
     )
     if rows:
-        numbered = number_rows(lines, ["_block", "_place"], "_line")
+        numbered = number_rows(lines, ["_file", "_block", "_place"], "_line")
         lines = numbered.where(F.col("_line").between(*rows)).withColumns({"_block": F.lit(0), "_place": F.col("_line")})
-    head = lines.where("_block = 0").orderBy("_place").limit(header_row).collect()
-    if len(head) < header_row:
+    # The first block of a file is read by one task, so its lines have consecutive places.
+    starts = lines.where("_block = 0").groupBy("_file").agg(F.min("_place").alias("_start"))
+    placed = lines.join(starts, "_file", "left")
+    row = F.col("_place") - F.col("_start") + 1
+    head = placed.where((F.col("_block") == 0) & (row == header_row)).select("value").first()
+    if head is None:
         raise ValueError(f"{path} has no row {header_row}")
     first, last = columns or (1, None)
-    all_names = next(csv.reader([head[-1].value]))
+    all_names = next(csv.reader([head.value]))
     width = len(all_names)
     cells = ", ".join(f"c{i} string" for i in range(width))
-    body = lines.where((F.col("_block") > 0) | (F.col("_place") > head[-1]._place))
+    body = placed.where((F.col("_block") > 0) | (row > header_row))
     parsed = body.select(F.from_csv("value", cells).alias("c"))
 
     def cell(i: int) -> Column:
