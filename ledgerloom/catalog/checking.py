@@ -1 +1,69 @@
+"""Data tests (Q rows of the inventory)."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.catalog import query, table
+from ledgerloom.operators import checks
+
+
+@query(
+    "q01_check_report",
+    """
+SELECT 'name present' AS "check", (SELECT count(*) FROM customer WHERE c_name IS NULL) AS violations, (SELECT count(*) FROM customer WHERE c_name IS NULL) = 0 AS passed
+UNION ALL SELECT 'part names unique', n, n = 0 FROM (SELECT count(*) AS n FROM (SELECT p_name FROM part GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'some line has no order', 1, false
+""",
+)
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.check_report(
+        {
+            "name present": checks.expect_not_null(table(spark, sf_dir, "customer"), "c_name"),
+            "part names unique": checks.expect_unique(table(spark, sf_dir, "part"), "p_name"),
+            "some line has no order": checks.expect_some_null(table(spark, sf_dir, "lineitem"), "l_orderkey"),
+        }
+    )
+
+
+NULLABLE = "(SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN o_custkey END AS buyer FROM orders)"
+
+
+def _nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buyer = F.when(F.col("o_totalprice") > 100000, F.col("o_custkey"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", buyer.alias("buyer"))
+
+
+@query(
+    "q02_some_null",
+    f"""
+SELECT 'buyer' AS col, CAST(1 AS INTEGER) AS violation WHERE NOT EXISTS (SELECT 1 FROM {NULLABLE} WHERE buyer IS NULL)
+UNION ALL SELECT 'o_orderkey', 1 WHERE NOT EXISTS (SELECT 1 FROM {NULLABLE} WHERE o_orderkey IS NULL)
+""",
+)
+def some_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _nullable(spark, sf_dir)
+    found = [checks.expect_some_null(rows, c).select(F.lit(c).alias("col"), "violation") for c in ("buyer", "o_orderkey")]
+    return found[0].unionByName(found[1])
+
+
+@query("q03_not_null", f"SELECT * FROM {NULLABLE} WHERE buyer IS NULL")
+def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.expect_not_null(_nullable(spark, sf_dir), "buyer")
+
+
+@query("q04_unique", f"SELECT buyer, count(*) AS n FROM {NULLABLE} WHERE buyer IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.expect_unique(_nullable(spark, sf_dir), "buyer")
+
+
+@query(
+    "q05_blank",
+    "SELECT 'filled' AS name, count(c_name) = 0 AS is_blank FROM customer UNION ALL SELECT 'blank', count(nullif(trim(replace(c_mktsegment, c_mktsegment, '')), '')) = 0 FROM customer",
+)
+def blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer")
+    empty = customers.select(F.replace("c_mktsegment", F.col("c_mktsegment"), F.lit("")).alias("x"), F.lit(None).alias("y"))
+    parts = [checks.is_blank(df).select(F.lit(n).alias("name"), "is_blank") for n, df in (("filled", customers), ("blank", empty))]
+    return parts[0].unionByName(parts[1])

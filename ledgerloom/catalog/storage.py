@@ -1 +1,286 @@
+"""Stored tables (K rows and the storing I rows of the inventory): each query stores a table and reads it back."""
 
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import ledgerloom.plans.marts  # noqa: F401  (registers the models)
+from ledgerloom.catalog import query, table
+from ledgerloom.catalog.roles import ROLES, context
+from ledgerloom.plans.registry import backfill, run
+from ledgerloom.session import scratch_database, scratch_path
+from ledgerloom.sources import tables
+from ledgerloom.sources.readers import load_csv
+from ledgerloom.streaming.copy import continuous_copy
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+
+
+ORDERS = "SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders "
+
+
+@query("k01_replace_table", ORDERS + "WHERE o_totalprice > 250000")
+def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, orders = f"{scratch_database(spark)}.t", _orders(spark, sf_dir)
+    tables.write(orders, name)
+    tables.write(orders.where("o_totalprice > 250000"), name)
+    return spark.table(name)
+
+
+@query("k02_append", ORDERS + "UNION ALL " + ORDERS + "WHERE o_totalprice > 250000")
+def append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, orders = f"{scratch_database(spark)}.t", _orders(spark, sf_dir)
+    tables.write(orders, name, "append")
+    tables.write(orders.where("o_totalprice > 250000"), name, "append")
+    return spark.table(name)
+
+
+REPLACED = """
+WITH fresh AS (SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice * 2 AS o_totalprice FROM orders
+  WHERE o_orderdate >= DATE '1998-03-10' AND o_orderdate < DATE '1998-05-02' AND dayofweek(o_orderdate) = 1)
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate NOT IN (SELECT o_orderdate FROM fresh)
+UNION ALL SELECT * FROM fresh
+"""
+
+
+def _fresh(orders: DataFrame) -> DataFrame:
+    """Doubled orders of the Mondays of some weeks."""
+    day = F.col("o_orderdate")
+    chosen = (day >= F.lit(dt.date(1998, 3, 10))) & (day < F.lit(dt.date(1998, 5, 2))) & (F.dayofweek(day) == 2)
+    return orders.where(chosen).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+
+
+@query("k03_replace_by_values", REPLACED)
+def replace_by_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days replaced in a table of months: only the listed days go. Done twice, with the same result."""
+    name, orders = f"{scratch_database(spark)}.t", _orders(spark, sf_dir)
+    tables.write_partitioned(orders, name, "o_orderdate", "MONTH")
+    fresh = _fresh(orders).withColumn("part_o_orderdate", F.date_format("o_orderdate", "yyyy-MM"))
+    for _ in range(2):
+        tables.replace_by_values(fresh, name, "o_orderdate")
+    return spark.table(name).drop("part_o_orderdate")
+
+
+@query("k04_partitioned_write", "SELECT *, strftime(o_orderdate, '%Y-%m') AS part_o_orderdate FROM orders WHERE o_orderdate >= DATE '1999-01-15' AND o_orderdate < DATE '1999-03-15'")
+def partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"{scratch_database(spark)}.t"
+    tables.write_partitioned(table(spark, sf_dir, "orders"), name, "o_orderdate", "MONTH", sort_by="o_orderkey")
+    return tables.read_slice(spark, name, dt.date(1999, 1, 15), dt.date(1999, 3, 15))
+
+
+@query("k05_update_table", REPLACED)
+def update_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, orders = f"{scratch_database(spark)}.t", _orders(spark, sf_dir)
+    tables.update_table(orders, name, "truncate", "o_orderdate", "MONTH")
+    tables.update_table(_fresh(orders), name, "truncate_partition", "o_orderdate", "MONTH")
+    return spark.table(name).drop("part_o_orderdate")
+
+
+@query(
+    "k06_clustered_join",
+    "SELECT l_orderkey, l_linenumber, l_partkey, o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+)
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides stored bucketed by the join key: the join needs no shuffle."""
+    database = scratch_database(spark)
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    tables.write_bucketed(lines, f"{database}.lines", "l_orderkey", 8)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    tables.write_bucketed(orders, f"{database}.orders", "l_orderkey", 8)
+    return spark.table(f"{database}.lines").join(spark.table(f"{database}.orders"), "l_orderkey")
+
+
+@query(
+    "k07_conform",
+    """
+SELECT CAST(c_custkey AS BIGINT) AS id, CAST(c_nationkey AS BIGINT) AS nation, c_acctbal > 0 AS ok, c_name AS name,
+  CAST(c_acctbal AS DOUBLE) AS balance, CAST(CASE WHEN c_acctbal > 0 THEN DATE '2024-01-01' + CAST(c_nationkey AS INTEGER) ELSE DATE '1970-01-01' END AS TIMESTAMP) AS since,
+  CAST(CAST(c_nationkey AS SMALLINT) AS BIGINT) AS small FROM customer
+""",
+)
+def conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    since = F.when(F.col("c_acctbal") > 0, F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("c_nationkey").cast("int")))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_nationkey").alias("nation"),
+        (F.col("c_acctbal") > 0).alias("ok"),
+        F.col("c_name").alias("name"),
+        F.col("c_acctbal").cast("decimal(12,2)").alias("balance"),
+        since.alias("since"),
+        F.col("c_nationkey").cast("smallint").alias("small"),
+    )
+    return tables.conform_for_ingest(customers)
+
+
+@query(
+    "k08_ingest",
+    "SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y-%m') AS part_ts FROM events WHERE user_id >= 50 "
+    "UNION ALL SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y-%m') FROM events WHERE user_id < 50",
+)
+def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, events = f"{scratch_database(spark)}.t", table(spark, sf_dir, "events").drop("props")
+    tables.ingest(events, name, "append", "ts")
+    tables.ingest(events.where("user_id >= 50"), name, "truncate", "ts")
+    tables.ingest(events.where("user_id < 50"), name, "append", "ts")
+    return spark.table(name)
+
+
+@query("k09_export", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as csv, json and parquet; read back from all three, each giving the same rows."""
+    folder = scratch_path(spark, "export")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    paths = {kind: tables.export(orders, folder, "orders", kind) for kind in ("csv", "json", "parquet")}
+    back = [
+        load_csv(spark, paths["csv"], orders.schema),
+        spark.read.schema(orders.schema).json(paths["json"]),
+        spark.read.parquet(paths["parquet"]),
+    ]
+    return back[0].intersect(back[1]).intersect(back[2])
+
+
+@query(
+    "k10_add_columns",
+    "SELECT r_regionkey, c_custkey, CASE WHEN c_custkey >= 100 THEN 'late' END AS note FROM customer "
+    "JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
+)
+def add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"{scratch_database(spark)}.t"
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r_regionkey"))
+    rows = table(spark, sf_dir, "customer").join(nation, "c_nationkey").select("r_regionkey", "c_custkey")
+    tables.write(rows.where("c_custkey < 100"), name)
+    tables.add_columns(spark, name, note="string")
+    tables.write(rows.where("c_custkey >= 100").withColumn("note", F.lit("late")), name, "append")
+    return spark.table(name)
+
+
+@query("k11_table_schema")
+def table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"{scratch_database(spark)}.t"
+    tables.write(table(spark, sf_dir, "orders"), name)
+    return spark.createDataFrame(tables.table_schema(spark, name), "column string, type string")
+
+
+@query("k13_expire_partitions", ORDERS + "WHERE CAST(o_orderdate AS DATE) >= DATE '2001-08-01' - 365")
+def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also sets and checks an expiry for the whole table, which has not come yet."""
+    name, as_of = f"{scratch_database(spark)}.t", dt.date(2001, 8, 1)
+    tables.write_partitioned(_orders(spark, sf_dir), name, "o_orderdate", "DAY")
+    tables.expire_partitions(spark, name, 365, as_of)
+    tables.set_table_expiry(spark, name, 30, as_of)
+    tables.expire_table(spark, name, as_of)
+    return spark.table(name).drop("part_o_orderdate")
+
+
+@query("k14_required_slice", ORDERS + "WHERE o_orderdate >= DATE '2000-01-01' AND o_orderdate < DATE '2000-04-01'")
+def required_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"{scratch_database(spark)}.t"
+    orders = _orders(spark, sf_dir)
+    tables.update_table(orders, name, "truncate", "o_orderdate", "MONTH", partition_expiry_days=9999, partition_filter=True)
+    return tables.read_slice(spark, name, dt.date(2000, 1, 1), dt.date(2000, 4, 1)).drop("part_o_orderdate")
+
+
+@query(
+    "k15_ingest_date",
+    "SELECT c_custkey, DATE '2024-01-01' AS _ingest_date FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey, DATE '2024-01-02' FROM customer WHERE c_acctbal >= 0",
+)
+def ingest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, customers = f"{scratch_database(spark)}.t", table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    tables.append_with_ingest_date(customers.where("c_acctbal < 0").drop("c_acctbal"), name, dt.date(2024, 1, 1))
+    tables.append_with_ingest_date(customers.where("c_acctbal >= 0").drop("c_acctbal"), name, dt.date(2024, 1, 2))
+    return spark.table(name)
+
+
+@query("k16_k17_truncate_and_ctas", "SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
+def truncate_and_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = scratch_database(spark)
+    tables.write(table(spark, sf_dir, "customer"), f"{database}.customer")
+    tables.truncate(spark, f"{database}.customer")
+    tables.write(table(spark, sf_dir, "customer"), f"{database}.customer", "append")
+    tables.write(table(spark, sf_dir, "nation"), f"{database}.nation")
+    text = f"SELECT n_name, count(*) AS n FROM {database}.customer JOIN {database}.nation ON c_nationkey = n_nationkey GROUP BY ALL"
+    tables.ctas(spark, f"{database}.report", text)
+    tables.drop(spark, f"{database}.customer")
+    return spark.table(f"{database}.report")
+
+
+@query("k18_continuous_copy", "SELECT * FROM events")
+def streamed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same files: the second finds nothing new."""
+    target, checkpoint = scratch_path(spark, "copy"), scratch_path(spark, "copy-state")
+    schema = table(spark, sf_dir, "events").schema
+    for _ in range(2):
+        stream = continuous_copy(
+            spark, f"{sf_dir}/events*.parquet", schema, target, checkpoint, ["event_id"], "ts", "30 days"
+        )
+        stream.awaitTermination()
+    return spark.read.schema(schema).parquet(target)
+
+
+@query("i01_i16_stored_models", ROLES + "SELECT CAST(id AS VARCHAR) AS consum_transaction_id, user_id FROM billing_ledger")
+def stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An incremental model run twice by path: the second run merges the same rows again."""
+    database = scratch_database(spark)
+    for _ in range(2):
+        run(context(spark, sf_dir, dt.date(2001, 8, 5), database), "path:merged/ledger_transaction")
+    return spark.table(f"{database}.ledger_transaction").select("consum_transaction_id", "user_id")
+
+
+@query("i04_i06_lazy_duplicates", "SELECT * FROM orders WHERE o_orderdate >= DATE '1997-01-01'")
+def lazy_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended twice, read as if merged, then compacted in place."""
+    name = f"{scratch_database(spark)}.t"
+    orders = table(spark, sf_dir, "orders").where("o_orderdate >= DATE '1997-01-01'")
+    for _ in range(2):
+        tables.write_partitioned(orders, name, "o_orderdate", "YEAR", "append")
+    tables.compact_table(spark, name, "o_orderkey", "o_orderdate", "o_custkey")
+    return spark.table(name).drop("part_o_orderdate")
+
+
+@query(
+    "i10_i12_backfill",
+    ROLES + "SELECT * FROM sliced_table WHERE created_at >= DATE '2024-01-01' AND created_at < DATE '2024-02-01'",
+)
+def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job for the whole range, then the same range again slice by slice."""
+    ctx = context(spark, sf_dir, dt.date(2024, 2, 1), scratch_database(spark))
+    backfill(ctx, "slice_copy", dt.date(2024, 1, 1), dt.date(2024, 2, 1))
+    backfill(ctx, "slice_copy", dt.date(2023, 12, 1), dt.date(2024, 2, 1), one_by_one=True)
+    return ctx.target("slice_copy").drop("part_created_at")
+
+
+@query(
+    "i17_copy_and_build",
+    ROLES
+    + "SELECT * FROM copied_table QUALIFY row_number() OVER (PARTITION BY creator_id, ingest_cycle ORDER BY ingest_at DESC, payout_id) = 1",
+)
+def copy_and_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query result to typed ingest to merged model, without passing the driver."""
+    database = scratch_database(spark)
+    source = context(spark, sf_dir, dt.date(2001, 8, 5)).source("copied_table")
+    newest = source.groupBy("creator_id", "ingest_cycle").agg(
+        F.max_by(F.struct("ingest_at", "payout_id", "amount"), F.struct("ingest_at", -F.col("payout_id"))).alias("r")
+    )
+    rows = newest.select("creator_id", "ingest_cycle", "r.*")
+    tables.ingest(rows, f"{database}.landing", "truncate", "ingest_at")
+    landed = spark.table(f"{database}.landing").drop("part_ingest_at")
+    ctx = context(spark, sf_dir, dt.date(2001, 8, 5), database)
+    ctx.sources = {**ctx.sources, "copied_table": landed.withColumn("ingest_cycle", F.col("ingest_cycle").cast("int"))}
+    for _ in range(2):
+        run(ctx, "copied_table")
+    return ctx.target("copied_table").drop("part_ingest_at")
+
+
+@query("i19_seed", "SELECT n_nationkey, n_name, CAST(n_regionkey AS INTEGER) AS n_regionkey, c AS customers FROM nation JOIN (SELECT c_nationkey, count(*) AS c FROM customer GROUP BY 1) ON c_nationkey = n_nationkey")
+def seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"{scratch_database(spark)}.seed"
+    nation = table(spark, sf_dir, "nation")
+    path = tables.export(nation, scratch_path(spark, "seed"), "nation", "csv")
+    tables.seed(spark, path, name, nation.schema)
+    customers = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey"))
+    return spark.table(name).join(customers.agg(F.count(F.lit(1)).alias("customers")), "n_nationkey")

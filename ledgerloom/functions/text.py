@@ -36,13 +36,16 @@ SHARED_DRIVES = "/drive/shared-drives/"
 
 def contains_words(col: Column, words: Sequence[str]) -> Column:
     """Does the text hold any of the words, as whole words, in any case?"""
-    return F.lower(col).rlike("(?iu)" + "|".join(f"(?:{_whole_word(w)})" for w in words))
-
-
-def _whole_word(word: str) -> str:
-    """The word between word boundaries in the ASCII sense, whatever the JVM takes ``\\b`` for."""
-    ahead, behind = ("!" if re.match(r"\w", c, re.ASCII) else "=" for c in (word[-1], word[0]))
-    return f"(?<{behind}[0-9A-Za-z_]){re.escape(word)}(?{ahead}[0-9A-Za-z_])"
+    # Word boundaries in the ASCII sense, whatever the JVM takes \\b for; words with equal ends share one group.
+    groups: dict[tuple[str, str], list[str]] = {}
+    for word in words:
+        ends = tuple("!" if re.match(r"\w", c, re.ASCII) else "=" for c in (word[0], word[-1]))
+        groups.setdefault(ends, []).append(re.escape(word))
+    options = [
+        f"(?<{before}[0-9A-Za-z_])(?:{'|'.join(same)})(?{after}[0-9A-Za-z_])"
+        for (before, after), same in groups.items()
+    ]
+    return F.lower(col).rlike("(?iu)" + "|".join(options))
 
 
 def remove_accents(col: Column) -> Column:
