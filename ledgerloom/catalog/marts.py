@@ -12,7 +12,7 @@ import ledgerloom.plans.marts  # noqa: F401  (registers the models)
 from ledgerloom.catalog import query
 from ledgerloom.catalog.roles import ROLES, context
 from ledgerloom.operators.incremental import upsert
-from ledgerloom.plans.registry import run, run_slice
+from ledgerloom.plans.registry import Context, run, run_slice
 from ledgerloom.session import scratch_database
 
 PAYERS_AS_OF = dt.date(2001, 11, 15)
@@ -190,10 +190,16 @@ LEFT JOIN user_master AS um ON f.user_id = um.user_id
 """
 
 
-def payers(spark: SparkSession, sf_dir: str):
+def payers(spark: SparkSession, sf_dir: str) -> Context:
     return context(spark, sf_dir, PAYERS_AS_OF)
 
 
+def purchases_kept(spark: SparkSession, sf_dir: str) -> Context:
+    """The payer ledger reads the purchases twice, so their few columns it needs are stored first."""
+    columns = ("type", "seller_id", "buyer_id", "purchase_at", "billing_transaction_id", "amount")
+    return payers(spark, sf_dir).keep("star_purchase", *columns)
+
+
 @query("m01_star_purchase", ROLES + STAR_PURCHASE + "SELECT * FROM star_purchase")
 def star_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payers(spark, sf_dir).ref("star_purchase")
@@ -206,7 +212,7 @@ def user_topup_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m03_monthly_pay_user", ROLES + STAR_PURCHASE + TOPUP + PAYERS + "SELECT * FROM monthly_pay_user")
 def monthly_pay_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payers(spark, sf_dir).ref("monthly_pay_user")
+    return purchases_kept(spark, sf_dir).ref("monthly_pay_user")
 
 
 @query(
@@ -214,7 +220,7 @@ def monthly_pay_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     ROLES + STAR_PURCHASE + TOPUP + PAYERS + SEGMENTATION + "SELECT * FROM monthly_segmentation",
 )
 def monthly_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payers(spark, sf_dir).ref("monthly_segmentation")
+    return purchases_kept(spark, sf_dir).ref("monthly_segmentation")
 
 
 @query(
@@ -222,15 +228,13 @@ def monthly_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ROLES + STAR_PURCHASE + TOPUP + PAYERS + SEGMENTATION + FLAGGING + "SELECT * FROM pay_user_flagging",
 )
 def pay_user_flagging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payers(spark, sf_dir).ref("pay_user_flagging")
+    return purchases_kept(spark, sf_dir).ref("pay_user_flagging")
 
 
 @query("m06_pay_user_master_data", ROLES + STAR_PURCHASE + TOPUP + PAYERS + SEGMENTATION + FLAGGING + MASTER)
 def pay_user_master_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole chain: the ledger is stored once, then read by the marts built on it."""
-    ctx = context(spark, sf_dir, PAYERS_AS_OF, scratch_database(spark))
-    for name in ("monthly_pay_user", "monthly_segmentation", "pay_user_flagging"):
-        run(ctx, name)
+    """The whole chain: models that several others read are stored once."""
+    ctx = purchases_kept(spark, sf_dir).keep("monthly_pay_user").keep("monthly_segmentation")
     return ctx.ref("pay_user_master_data")
 
 

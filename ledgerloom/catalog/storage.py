@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -166,11 +167,11 @@ def table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(tables.table_schema(spark, name), "column string, type string")
 
 
-@query("k13_expire_partitions", ORDERS + "WHERE CAST(o_orderdate AS DATE) >= DATE '2001-08-01' - 365")
+@query("k13_expire_partitions", ORDERS + "WHERE date_trunc('month', o_orderdate) >= DATE '2001-08-01' - 365")
 def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also sets and checks an expiry for the whole table, which has not come yet."""
     name, as_of = f"{scratch_database(spark)}.t", dt.date(2001, 8, 1)
-    tables.write_partitioned(_orders(spark, sf_dir), name, "o_orderdate", "DAY")
+    tables.write_partitioned(_orders(spark, sf_dir), name, "o_orderdate", "MONTH")
     tables.expire_partitions(spark, name, 365, as_of)
     tables.set_table_expiry(spark, name, 30, as_of)
     tables.expire_table(spark, name, as_of)
@@ -270,7 +271,8 @@ def copy_and_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.ingest(rows, f"{database}.landing", "truncate", "ingest_at")
     landed = spark.table(f"{database}.landing").drop("part_ingest_at")
     ctx = context(spark, sf_dir, dt.date(2001, 8, 5), database)
-    ctx.sources = {**ctx.sources, "copied_table": landed.withColumn("ingest_cycle", F.col("ingest_cycle").cast("int"))}
+    landed = landed.withColumn("ingest_cycle", F.col("ingest_cycle").cast("int"))
+    ctx.sources = ChainMap({"copied_table": landed}, ctx.sources)
     for _ in range(2):
         run(ctx, "copied_table")
     return ctx.target("copied_table").drop("part_ingest_at")

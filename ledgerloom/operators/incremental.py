@@ -15,8 +15,9 @@ from ledgerloom.functions.cases import case_when, state_changed
 from ledgerloom.functions.dates import back
 from ledgerloom.operators.joins import as_list
 from ledgerloom.operators.numbering import number_rows
-from ledgerloom.operators.sets import anti, semi
+from ledgerloom.operators.sets import semi
 from ledgerloom.operators.windows import latest_per_key
+from ledgerloom.session import stage
 
 Names = str | Sequence[str]
 
@@ -255,8 +256,11 @@ def process_remaining(
     ``work`` turns the remaining inputs into a frame with the key and the result columns; inputs it drops are not
     logged and come back next time. New rows continue the log's numbering.
     """
-    remaining = inputs if log is None else anti(inputs, log.withColumnRenamed("key_column", key), key)
-    done = work(remaining)
+    remaining = inputs
+    if log is not None:
+        remaining = inputs.join(log.select(F.col("key_column").alias(key)), key, "left_anti")
+    # Stored before it is numbered, so that the work on each input is done once.
+    done = stage(work(remaining), "processed")
     results = [c for c in done.columns if c != key]
     last = 0 if log is None else log.agg(F.max("row_number")).first()[0] or 0
     numbered = number_rows(done, order or [key, *_sortable(done, results)], start=last + 1)
@@ -269,13 +273,16 @@ def _sortable(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if not types[n].startswith(("map", "variant", "array", "struct"))]
 
 
-def affected_slices(target: DataFrame, new: DataFrame, keys: Names, part: str) -> list:
-    """Values of the partition column that a merge touches: where new rows go, and where their keys lie now.
+def affected_slices(target: DataFrame, new: DataFrame, keys: Names, part: str, unique: bool = True) -> list:
+    """Values of the partition column that a change touches: where new rows go, and where their keys lie now.
 
-    The list has at most one entry per stored partition.
+    The list has at most one entry per stored partition. ``unique`` tells that a key has one row in the target, so no
+    key needs to be spread.
     """
     names = as_list(keys)
-    holding = semi(target.select(*dict.fromkeys([*names, part])), new, names).select(part)
-    return [row[0] for row in new.select(part).union(holding).distinct().collect()]
-
-
+    stored = target.select(*dict.fromkeys([*names, part]))
+    if unique:
+        holding = stored.join(new.select(*names).distinct(), names, "left_semi")
+    else:
+        holding = semi(stored, new, names)
+    return [row[0] for row in new.select(part).union(holding.select(part)).distinct().collect()]

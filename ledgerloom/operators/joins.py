@@ -8,7 +8,6 @@ the right side of a left outer join. ``spread_join`` covers these cases.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,33 +23,27 @@ def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys with more rows than a slice should have, and the number of slices for each.
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame:
+    """Keys (as ``_h_0``, ...) with more rows than a slice should have, and the number of ``_slices`` for each.
 
     At most ``MOST_HEAVY_KEYS`` rows whatever the size of the input, so the result may be broadcast. The count is a
     partial aggregate that reads the key columns alone. It only decides how work is cut, never what is returned.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_slice)
-    largest = counts.orderBy(F.col("_n").desc()).limit(MOST_HEAVY_KEYS)
-    return largest.select(*keys, F.ceil(F.col("_n") / rows_per_slice).cast("int").alias("_slices"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {rows_per_slice}")
+    named = [f"`{k}` AS _h_{i}" for i, k in enumerate(keys)]
+    largest = counts.orderBy(F.desc("_n")).limit(MOST_HEAVY_KEYS)
+    return largest.selectExpr(*named, f"CAST(ceil(_n / {rows_per_slice}) AS INT) AS _slices")
 
 
-def _row_hash(df: DataFrame, spread_by: Sequence[str] | None) -> Column:
+def _row_hash(df: DataFrame, spread_by: Sequence[str] | None) -> str:
     """Hash of the row's own values: a retried task puts every row into the slice it had before."""
     names = spread_by or [f.name for f in df.schema.fields if not isinstance(f.dataType, UNHASHABLE)]
-    return F.xxhash64(*[F.col(f"`{n}`") for n in names])
+    return f"xxhash64({', '.join(f'`{n}`' for n in names)})"
 
 
-def _match(left_keys: Sequence[str], right_keys: Sequence[str], null_safe: bool) -> Column:
-    pairs = [(F.col(a), F.col(b)) for a, b in zip(left_keys, right_keys)]
-    return reduce(lambda x, y: x & y, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
-
-
-def _attach(df: DataFrame, small: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    """Add the columns of a bounded frame by key, NULL where the key is not in it."""
-    names = [f"_h_{i}" for i in range(len(keys))]
-    renamed = small.withColumnsRenamed(dict(zip(keys, names)))
-    return df.join(F.broadcast(renamed), _match(keys, names, null_safe), "left").drop(*names)
+def _match(left: Sequence[str], right: Sequence[str], null_safe: bool = False) -> Column:
+    equal = "<=>" if null_safe else "="
+    return F.expr(" AND ".join(f"`{a}` {equal} `{b}`" for a, b in zip(left, right)))
 
 
 def spread_join(
@@ -64,7 +57,7 @@ def spread_join(
     count_left: DataFrame | None = None,
     count_right: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Equi-join with the rows of heavy keys spread over several tasks; same result as ``left.join(right, on, how)``.
 
@@ -81,44 +74,48 @@ def spread_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how!r}")
     keys = as_list(on)
+    size = rows_per_slice or ROWS_PER_SLICE
     existence = how in ("left_semi", "left_anti")
     if existence:
         hot = "left"
         right = right if residual is not None else right.select(*keys).distinct()
 
-    near, far, salts = left, right, []
+    heavy_names = [f"_h_{i}" for i in range(len(keys))]
+    by_key = _match(keys, heavy_names, null_safe)
+    near, near_columns = left, [f"`{c}`" for c in left.columns]
+    far, far_columns = right, [f"`{c}`" for c in right.columns]
+    salts = []
 
     if hot in ("left", "both"):
-        heavy = heavy_keys(left if count_left is None else count_left, keys, rows_per_slice)
-        slices = F.coalesce(F.col("_slices"), F.lit(1))
+        heavy = F.broadcast(heavy_keys(left if count_left is None else count_left, keys, size))
+        slices = "coalesce(_slices, 1)"
         if not null_safe:
-            missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
-            slices = F.when(missing, NULL_SLICES).otherwise(slices)
-        near = _attach(near, heavy, keys, null_safe)
-        near = near.withColumn("_a", F.pmod(_row_hash(left, spread_by), slices).cast("int")).drop("_slices")
-        far = _attach(far, heavy, keys, null_safe)
-        every = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
-        far = far.withColumn("_a", F.explode(every)).drop("_slices")
+            missing = " OR ".join(f"`{k}` IS NULL" for k in keys)
+            slices = f"CASE WHEN {missing} THEN {NULL_SLICES} ELSE {slices} END"
+        salt = f"CAST(pmod({_row_hash(left, spread_by)}, {slices}) AS INT) AS _a"
+        near = near.join(heavy, by_key, "left").selectExpr(*near_columns, salt)
+        every = "explode(sequence(0, coalesce(_slices, 1) - 1)) AS _a"
+        far = far.join(heavy, by_key, "left").selectExpr(*far_columns, every)
         salts.append("_a")
 
     if hot in ("right", "both"):
-        heavy = heavy_keys(right if count_right is None else count_right, keys, rows_per_slice)
-        slice_of_row = F.pmod(_row_hash(right, None), F.coalesce(F.col("_slices"), F.lit(1))).cast("int")
-        far = _attach(far, heavy, keys, null_safe).withColumn("_b", slice_of_row).drop("_slices")
-        used = _attach(right, heavy, keys, null_safe).where("_slices IS NOT NULL").withColumn("_b", slice_of_row)
-        used = used.groupBy(*keys).agg(F.collect_set("_b").alias("_used"))
-        near = _attach(near, used, keys, null_safe)
-        near = near.withColumn("_b", F.explode(F.coalesce("_used", F.array(F.lit(0))))).drop("_used")
+        heavy = F.broadcast(heavy_keys(right if count_right is None else count_right, keys, size))
+        salt = f"CAST(pmod({_row_hash(right, None)}, coalesce(_slices, 1)) AS INT) AS _b"
+        far = far.join(heavy, by_key, "left").selectExpr(*far_columns, *salts, salt)
+        used = right.join(heavy, by_key, "inner").selectExpr(*heavy_names, salt)
+        used = used.groupBy(*heavy_names).agg(F.collect_set("_b").alias("_used"))
+        every = "explode(coalesce(_used, array(0))) AS _b"
+        near = near.join(F.broadcast(used), by_key, "left").selectExpr(*near_columns, *salts, every)
         salts.append("_b")
 
     names = [f"_r_{i}" for i in range(len(keys) + len(salts))]
-    far = far.withColumnsRenamed(dict(zip([*keys, *salts], names)))
-    condition = _match(keys, names[: len(keys)], null_safe) & _match(salts, names[len(keys) :], False)
+    rest = [f"`{c}`" for c in right.columns if c not in keys]
+    far = far.selectExpr(*[f"`{k}` AS {n}" for k, n in zip([*keys, *salts], names)], *rest)
+    condition = _match(keys, names, null_safe) & _match(salts, names[len(keys) :])
     if residual is not None:
         condition = condition & residual
     joined = near.join(far, condition, how)
-    rest = [] if existence else [c for c in right.columns if c not in keys]
-    return joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *rest]])
+    return joined.selectExpr(*near_columns, *([] if existence else rest))
 
 
 def anti_before_first(

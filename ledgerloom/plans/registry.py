@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions.dates import month_windows
 from ledgerloom.operators.filters import date_slice
+from ledgerloom.session import stage
 from ledgerloom.sources import tables
 
 
@@ -77,6 +78,12 @@ class Context:
             self._built[name] = MODELS[name].build(self)
         return self._built[name]
 
+    def keep(self, name: str, *columns: str) -> Context:
+        """Store a model that several others read, once for this run; only the named columns if any are given."""
+        result = self.ref(name)
+        self._built[name] = stage(result.select(*columns) if columns else result, name)
+        return self
+
     def var(self, name: str, default: object = None) -> object:
         return self.params.get(name, default)
 

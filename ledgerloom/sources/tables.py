@@ -127,13 +127,14 @@ def _swap_rows(result: DataFrame, table: str, emptied: Sequence[object] = ()) ->
         stage(result).write.mode("overwrite").insertInto(table)
         return
     overwrite_partitions(result, table)
-    for value in emptied:
-        drop_partition(spark, table, parts[0], value)
+    drop_partitions(spark, table, parts[0], emptied)
 
 
-def drop_partition(spark: SparkSession, table: str, part: str, value: object) -> None:
-    spec = f"`{part}` = null" if value is None else f"`{part}` = '{value}'"
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+def drop_partitions(spark: SparkSession, table: str, part: str, values: Sequence[object]) -> None:
+    """Drop partitions by value, many per statement."""
+    specs = [f"PARTITION (`{part}` = {'null' if v is None else repr(str(v))})" for v in values]
+    for first in range(0, len(specs), 1000):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs[first : first + 1000])}")
 
 
 def _within(part: str, values: Sequence[object]) -> Column:
@@ -160,7 +161,7 @@ def replace_by_values(df: DataFrame, table: str, col: str) -> None:
         _swap_rows(anti(old, values, col).unionByName(fresh), table)
         return
     part = parts[0]
-    touched = affected_slices(old, fresh, col, part)
+    touched = affected_slices(old, fresh, col, part, unique=False)
     kept = anti(old.where(_within(part, touched)), values, col)
     remaining = {r[0] for r in kept.select(part).union(fresh.select(part)).distinct().collect()}
     _swap_rows(kept.unionByName(fresh), table, [v for v in touched if v not in remaining])
@@ -366,8 +367,7 @@ def expire_partitions(spark: SparkSession, table: str, days: int, as_of: dt.date
     bound = as_of - dt.timedelta(days=days)
     listed = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     old = [v for v in listed if re.fullmatch(r"\d{4}(-\d{2}){0,2}", v) and _period_start(v) < bound]
-    for value in old:
-        drop_partition(spark, table, part, value)
+    drop_partitions(spark, table, part, old)
     return len(old)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,7 +26,9 @@ def continuous_copy(
     """
     rows: DataFrame = spark.readStream.schema(schema).parquet(source)
     if keys and ts:
-        rows = rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+        # Watermarks need an instant; a time without zone is read in the session's zone for this purpose only.
+        rows = rows.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
+        rows = rows.dropDuplicatesWithinWatermark(keys).drop("_event_time")
     writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
