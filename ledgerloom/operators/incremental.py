@@ -62,7 +62,7 @@ def edge_diff(
     keys = [source, sink, "date_key"]
     t = target.select([F.col(c).alias(f"t_{c}") for c in target.columns])
     on = [F.col(k) == F.col(f"t_{k}") for k in keys]
-    gone = F.col(source).isNull() & F.col(sink).isNull() & F.col("date_key").isNull()
+    gone = F.col(source).isNull()  # also true for an edge of the snapshot whose source is unknown
     now = F.lit(as_of.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     never = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
