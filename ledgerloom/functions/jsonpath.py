@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _kind(parsed: Column, path: str) -> Column:
@@ -30,6 +31,22 @@ def json_value(record: Column, path: str) -> Column:
     return json_scalar(F.to_json(record), path)
 
 
+def field_value(df: DataFrame, name: str, path: str) -> Column:
+    """Scalar out of a column of any kind. A path of plain names into a struct is read as a field, without JSON, when
+    the field is text, a whole number or a boolean; other structured columns go through JSON, and text is JSON."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return json_scalar(F.col(f"`{name}`"), path)
+    steps = path.removeprefix("$.").split(".")
+    leaf: T.DataType | None = kind
+    for step in steps:
+        known = isinstance(leaf, T.StructType) and step in leaf.names
+        leaf = leaf[step].dataType if known else None
+    if isinstance(leaf, (T.StringType, T.IntegralType, T.BooleanType)):
+        return F.col(".".join(f"`{part}`" for part in (name, *steps))).cast("string")
+    return json_value(F.col(f"`{name}`"), path)
+
+
 def json_string(col: Column, key: str) -> Column:
     """A JSON string by key, and the empty string for anything else."""
     return _string_at(F.try_parse_json(col), key)

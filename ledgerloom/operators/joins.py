@@ -57,6 +57,7 @@ def spread_join(
     count_left: DataFrame | None = None,
     count_right: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
+    spread_right_by: Sequence[str] | None = None,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Equi-join with the rows of heavy keys spread over several tasks; same result as ``left.join(right, on, how)``.
@@ -67,8 +68,9 @@ def spread_join(
     outer join reports no false unmatched row.
 
     ``count_left`` and ``count_right`` name cheaper frames with the same key column to look for heavy keys in (such as
-    the base table of a long pipeline). ``spread_by`` names columns that tell the rows of the left side apart; without
-    it all columns are hashed. ``residual`` is a further condition over columns of both sides. Columns other than the
+    the base table of a long pipeline). ``spread_by`` and ``spread_right_by`` name columns that tell the rows of a side
+    apart; without them all columns are hashed. ``count_right`` must hold the columns of ``spread_right_by``, and all
+    keys of the right side. ``residual`` is a further condition over columns of both sides. Columns other than the
     keys must have different names. Supports inner, left, left_semi and left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -99,10 +101,11 @@ def spread_join(
         salts.append("_a")
 
     if hot in ("right", "both"):
+        base = right if count_right is None or not spread_right_by else count_right
         heavy = F.broadcast(heavy_keys(right if count_right is None else count_right, keys, size))
-        salt = f"CAST(pmod({_row_hash(right, None)}, coalesce(_slices, 1)) AS INT) AS _b"
+        salt = f"CAST(pmod({_row_hash(right, spread_right_by)}, coalesce(_slices, 1)) AS INT) AS _b"
         far = far.join(heavy, by_key, "left").selectExpr(*far_columns, *salts, salt)
-        used = right.join(heavy, by_key, "inner").selectExpr(*heavy_names, salt)
+        used = base.join(heavy, by_key, "inner").selectExpr(*heavy_names, salt)
         used = used.groupBy(*heavy_names).agg(F.collect_set("_b").alias("_used"))
         every = "explode(coalesce(_used, array(0))) AS _b"
         near = near.join(F.broadcast(used), by_key, "left").selectExpr(*near_columns, *salts, every)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import to_gmt7
 from ledgerloom.functions.text import clean_text, contains_words, extract_email, remove_accents, strip_symbols
 from ledgerloom.operators.incremental import process_remaining
+from ledgerloom.session import spread_small
 
 PARTS = "id string, subject string, encoded boolean, sender_text string, date_text string, body_text string"
 
@@ -52,7 +53,7 @@ def normalize_messages(raw: DataFrame, key: str = "id", content: str = "raw") ->
     symbols, plain ones stay as they are. A date of another shape is passed on unchanged.
     """
     source = raw.select(F.col(key).cast("string").alias("id"), F.col(content).cast("binary").alias("raw"))
-    parts = source.mapInPandas(_parts, PARTS)
+    parts = spread_small(source).mapInPandas(_parts, PARTS)
     subject = F.when(F.col("encoded"), strip_symbols(remove_accents(F.col("subject")))).otherwise(F.col("subject"))
     return parts.select(
         "id",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cases import bucket, case_when, flag, null_if, signed_amount
 from ledgerloom.functions.dates import back, datetime_of, month_start, months_apart
-from ledgerloom.functions.jsonpath import json_scalar, json_value, with_json_strings
+from ledgerloom.functions.jsonpath import field_value, json_scalar, with_json_strings
 from ledgerloom.functions.text import page_url
 from ledgerloom.operators.filters import recent, without_unnamed
 from ledgerloom.operators.incremental import dim_diff, edge_diff, read_final
@@ -68,7 +68,7 @@ def user_alias(user: DataFrame) -> Column:
 
 def product_slugs(ctx: Context, payments: DataFrame) -> DataFrame:
     """Payments with the slug of the bought package, found by the product id in the gateway's answer."""
-    product = json_value(F.col("gateway_response"), "$.productId")
+    product = field_value(payments, "gateway_response", "$.productId")
     keyed = payments.withColumn("_product", F.replace(product, F.lit(str(ctx.var("product_prefix", ""))), F.lit("")))
     packages = ctx.source("conversion_package").select(F.col("id").cast("string").alias("_product"), "slug")
     return keyed.join(packages, "_product", "left").drop("_product", "gateway_response")
@@ -147,23 +147,26 @@ def star_purchase(ctx: Context) -> DataFrame:
         json_scalar(F.col("lines"), "$[0].conversion_package_slug").alias("line_slug"),
     )
     paid = ctx.source("payment")
+    mark = F.xxhash64("gateway", "charge_status", "amount", "updated_at").alias("_payment")
     payments = product_slugs(ctx, paid).select(
-        F.col("checkout_id").alias("checkout_key"),
-        "gateway",
-        "charge_status",
-        "slug",
-        F.xxhash64("amount", "updated_at").alias("_payment"),
+        F.col("checkout_id").alias("checkout_key"), "gateway", "charge_status", "slug", mark
     )
     # The refund flag belongs to the checkout, so it is taken from the payments before they fan out. Ledger rows
     # without a checkout have no payment and get false; they never gather in one window partition.
-    refunded = payments.where("charge_status = 'REFUNDED'").select("checkout_key").distinct()
+    refunded = paid.where("charge_status = 'REFUNDED'").select(F.col("checkout_id").alias("checkout_key")).distinct()
     checkouts = checkouts.join(refunded.withColumn("refunded", F.lit(True)), "checkout_key", "left")
 
     facts = spread_join(ledger, checkouts, "checkout_key", "left", spread_by=["billing_transaction_id"])
     facts = facts.withColumn("checkout_key", F.when(F.col("checkout_id").isNotNull(), F.col("checkout_key")))
-    paid_keys = paid.select(F.col("checkout_id").alias("checkout_key"))
     facts = spread_join(
-        facts, payments, "checkout_key", "left", hot="both", count_left=ledger, count_right=paid_keys
+        facts,
+        payments,
+        "checkout_key",
+        "left",
+        hot="both",
+        count_left=ledger,
+        count_right=paid.select(F.col("checkout_id").alias("checkout_key"), mark),
+        spread_right_by=["_payment"],
     )
     facts = spread_join(facts, buyers, "buyer_username", "left", count_left=ledger)
     facts = spread_join(facts, sellers, "seller_alias_text", "left", count_left=ledger)
