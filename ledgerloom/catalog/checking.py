@@ -38,8 +38,8 @@ def _nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "q02_some_null",
     f"""
-SELECT 'buyer' AS col, CAST(1 AS INTEGER) AS violation WHERE NOT EXISTS (SELECT 1 FROM {NULLABLE} WHERE buyer IS NULL)
-UNION ALL SELECT 'o_orderkey', 1 WHERE NOT EXISTS (SELECT 1 FROM {NULLABLE} WHERE o_orderkey IS NULL)
+SELECT 'buyer' AS col, 1 AS violation FROM {NULLABLE} HAVING count(*) = count(buyer)
+UNION ALL SELECT 'o_orderkey', 1 FROM {NULLABLE} HAVING count(*) = count(o_orderkey)
 """,
 )
 def some_null(spark: SparkSession, sf_dir: str) -> DataFrame:

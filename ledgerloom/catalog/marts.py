@@ -19,174 +19,128 @@ PAYERS_AS_OF = dt.date(2001, 11, 15)
 ORDERS_AS_OF = dt.date(2001, 7, 30)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
 
-STAR_PURCHASE = """, user_with_keyword_post AS (
-  SELECT owner_id AS user_id, bool_or(regexp_matches(lower(text), '(?i)\\bthe\\b|\\bque\\b|\\bund\\b')) AS is_keyword_contains
-  FROM post GROUP BY ALL
+STAR_PURCHASE = """, profiles AS (
+  SELECT u.id, u.username, coalesce(CAST(u.alias AS VARCHAR), u.prev_alias) AS handle,
+    coalesce(u.alias, CAST(u.prev_alias AS BIGINT)) AS alias, u.display_name, u.country, n.name AS country_name,
+    'https://example.com/@' || c.slug AS page, coalesce(t.is_allowed, false) AS allowed,
+    EXISTS (SELECT 1 FROM post WHERE owner_id = u.id AND regexp_matches(lower(text), '\\b(the|que|und)\\b')) AS wordy
+  FROM user_account AS u
+  LEFT JOIN channel AS c ON c.owner_id = u.id
+  LEFT JOIN transfer_permission AS t ON t.user_id = u.id
+  LEFT JOIN country AS n ON n.alpha_2 = u.country
+), receipts AS (
+  SELECT k.id AS checkout, k.user_id AS payer, k.top_up_quantity, p.gateway, p.charge_status,
+    coalesce(json_extract_string(k.lines, '$[0].conversion_package_slug'), g.slug) AS package,
+    k.id IN (SELECT checkout_id FROM payment WHERE charge_status = 'REFUNDED') AS refunded
+  FROM checkout AS k
+  LEFT JOIN payment AS p ON p.checkout_id = k.id
+  LEFT JOIN conversion_package AS g ON 'com.example.android.' || g.id = json_extract_string(p.gateway_response, '$.productId')
 ), star_purchase AS (
-  SELECT CAST(btv.created_at AS DATE) AS purchase_at, btv.created_at AS purchase_time,
-    au2.id AS buyer_id, coalesce(au2.alias, CAST(au2.prev_alias AS BIGINT)) AS buyer_alias,
-    au2.display_name AS buyer_display_name, 'https://example.com/@' || ch2.slug AS buyer_page,
-    au2.country AS buyer_country, coco2.name AS buyer_country_name,
-    au.id AS seller_id, coalesce(au.alias, CAST(au.prev_alias AS BIGINT)) AS seller_alias,
-    au.display_name AS seller_display_name, 'https://example.com/@' || ch.slug AS seller_page,
-    CASE WHEN btv.type = 'top_up' THEN NULL ELSE au.country END AS seller_country,
-    CASE WHEN btv.type = 'top_up' THEN NULL ELSE coco.name END AS seller_country_name,
-    coalesce(dim.is_allowed, false) AS buyer_is_allowed_transfer,
-    coalesce(dim2.is_allowed, false) AS seller_is_allowed_transfer,
-    pp.gateway,
-    CASE WHEN cc.user_id LIKE 'internal_%' THEN 'internal_deposit'
-      WHEN pp.gateway IN ('appstore', 'google_play') THEN 'iap'
-      WHEN pp.gateway IN ('gw.bank_transfer', 'gw.internal.tether', 'gw.internal.bank_transfer.vn')
-        AND cc.user_id NOT LIKE 'internal_%' AND cc.top_up_quantity IS NOT NULL THEN 'for_agency'
-      WHEN btv.type = 'transfer_inbound' THEN 'transfer_inbound' ELSE 'others' END AS topup_type,
-    btv.id AS billing_transaction_id, CAST(cc.id AS VARCHAR) AS checkout_id,
-    coalesce(json_extract_string(cc.lines, '$[0].conversion_package_slug'), pac.slug) AS topup_star_package,
-    pp.charge_status,
-    CASE WHEN pp.charge_status = 'REFUNDED' THEN -btv.amount ELSE btv.amount END AS amount,
-    sum(CASE WHEN pp.charge_status = 'REFUNDED' THEN 1 ELSE 0 END) OVER (PARTITION BY cc.id) <> 0 AS is_refunded,
-    btv.type,
-    coalesce(uk.is_keyword_contains AND dim2.is_allowed, false) AS is_keyword_contains
-  FROM billing_ledger AS btv
-  LEFT JOIN user_account AS au
-    ON json_extract_string(btv.metadata, '$.sender_alias') = coalesce(CAST(au.alias AS VARCHAR), au.prev_alias)
-  LEFT JOIN user_account AS au2 ON btv.user_id = au2.username
-  LEFT JOIN transfer_permission AS dim ON au2.id = dim.user_id
-  LEFT JOIN transfer_permission AS dim2 ON au.id = dim2.user_id
-  LEFT JOIN channel AS ch ON au.id = ch.owner_id
-  LEFT JOIN channel AS ch2 ON au2.id = ch2.owner_id
-  LEFT JOIN checkout AS cc ON btv.paymee_order_id = cc.id
-  LEFT JOIN payment AS pp ON pp.checkout_id = cc.id
-  LEFT JOIN conversion_package AS pac
-    ON CAST(pac.id AS VARCHAR) = replace(json_extract_string(pp.gateway_response, '$.productId'), 'com.example.android.', '')
-  LEFT JOIN user_with_keyword_post AS uk ON au.id = uk.user_id
-  LEFT JOIN country AS coco ON au.country = coco.alpha_2
-  LEFT JOIN country AS coco2 ON au2.country = coco2.alpha_2
-  WHERE btv.type IN ('top_up', 'transfer_inbound')
-  QUALIFY NOT (btv.type = 'transfer_inbound' AND coalesce(au.alias, CAST(au.prev_alias AS BIGINT)) IS NULL)
+  SELECT l.id AS billing_transaction_id, l.type, CAST(l.created_at AS DATE) AS purchase_at, l.created_at AS purchase_time,
+    b.id AS buyer_id, b.alias AS buyer_alias, b.display_name AS buyer_display_name, b.page AS buyer_page,
+    b.country AS buyer_country, b.country_name AS buyer_country_name, coalesce(b.allowed, false) AS buyer_is_allowed_transfer,
+    s.id AS seller_id, s.alias AS seller_alias, s.display_name AS seller_display_name, s.page AS seller_page,
+    if(l.type = 'top_up', NULL, s.country) AS seller_country, if(l.type = 'top_up', NULL, s.country_name) AS seller_country_name,
+    coalesce(s.allowed, false) AS seller_is_allowed_transfer, coalesce(s.allowed AND s.wordy, false) AS is_keyword_contains,
+    r.gateway, r.charge_status, CAST(r.checkout AS VARCHAR) AS checkout_id, r.package AS topup_star_package,
+    if(r.charge_status = 'REFUNDED', -1, 1) * l.amount AS amount, coalesce(r.refunded, false) AS is_refunded,
+    CASE WHEN starts_with(r.payer, 'internal') AND length(r.payer) > 8 THEN 'internal_deposit'
+      WHEN r.gateway IN ('google_play', 'appstore') THEN 'iap'
+      WHEN r.payer IS NOT NULL AND r.top_up_quantity IS NOT NULL AND starts_with(r.gateway, 'gw.') THEN 'for_agency'
+      WHEN l.type = 'transfer_inbound' THEN l.type ELSE 'others' END AS topup_type
+  FROM billing_ledger AS l
+  LEFT JOIN receipts AS r ON r.checkout = l.paymee_order_id
+  LEFT JOIN profiles AS b ON b.username = l.user_id
+  LEFT JOIN profiles AS s ON s.handle = json_extract_string(l.metadata, '$.sender_alias')
+  WHERE l.type = 'top_up' OR (l.type = 'transfer_inbound' AND s.alias IS NOT NULL)
 )
 """
 
-TOPUP = """, user_topup_transaction AS (
-  SELECT au.id AS user_id, au.country, CAST(cc.id AS VARCHAR) AS id, CAST(NULL AS BIGINT) AS seller_id,
-    pp.updated_at AS first_purchase_at,
-    CAST(CASE WHEN coalesce(cc.top_up_quantity, 0) = 0 THEN CAST(pp.amount AS DOUBLE) * 100
-      ELSE CAST(cc.top_up_quantity AS DOUBLE) END AS DOUBLE) AS amount,
-    coalesce(json_extract_string(cc.lines, '$[0].conversion_package_slug'), pac.slug) AS star_package,
-    CASE WHEN cc.user_id LIKE 'internal_%' THEN 'internal_deposit'
-      WHEN gateway IN ('appstore', 'google_play') THEN 'iap'
-      WHEN gateway IN ('gw.bank_transfer', 'gw.internal.tether', 'gw.internal.bank_transfer.vn')
-        AND cc.user_id NOT LIKE 'internal_%' AND top_up_quantity IS NOT NULL THEN 'for_agency'
-      ELSE 'others' END AS type
-  FROM checkout AS cc
-  LEFT JOIN user_account AS au ON cc.user_id = au.username
-  JOIN payment AS pp ON pp.checkout_id = cc.id
-  LEFT JOIN conversion_package AS pac
-    ON CAST(pac.id AS VARCHAR) = replace(json_extract_string(pp.gateway_response, '$.productId'), 'com.example.android.', '')
-  WHERE pp.charge_status IN ('CHARGED', 'REFUNDED') AND cc.status = 'COMPLETED' AND cc.type = 'star'
-    AND coalesce(cc.is_test_purchase, false) = false
-  QUALIFY sum(CASE WHEN pp.charge_status = 'REFUNDED' THEN -1 ELSE 1 END) OVER (PARTITION BY cc.id) = 1
+TOPUP = """, settled AS (
+  SELECT checkout_id FROM payment GROUP BY checkout_id
+  HAVING count(*) FILTER (charge_status = 'CHARGED') - count(*) FILTER (charge_status = 'REFUNDED') = 1
+), user_topup_transaction AS (
+  SELECT u.id AS user_id, u.country, CAST(k.id AS VARCHAR) AS id, CAST(NULL AS BIGINT) AS seller_id,
+    p.updated_at AS first_purchase_at,
+    if(k.top_up_quantity <> 0, CAST(k.top_up_quantity AS DOUBLE), p.amount * 100) AS amount,
+    coalesce(json_extract_string(k.lines, '$[0].conversion_package_slug'), g.slug) AS star_package,
+    CASE WHEN starts_with(k.user_id, 'internal') AND length(k.user_id) > 8 THEN 'internal_deposit'
+      WHEN p.gateway IN ('google_play', 'appstore') THEN 'iap'
+      WHEN k.top_up_quantity IS NOT NULL AND starts_with(p.gateway, 'gw.') THEN 'for_agency' ELSE 'others' END AS type
+  FROM payment AS p
+  JOIN settled USING (checkout_id)
+  JOIN checkout AS k ON k.id = p.checkout_id
+  LEFT JOIN user_account AS u ON u.username = k.user_id
+  LEFT JOIN conversion_package AS g ON 'com.example.android.' || g.id = json_extract_string(p.gateway_response, '$.productId')
+  WHERE p.charge_status <> 'FAILED' AND k.type = 'star' AND k.status = 'COMPLETED' AND k.is_test_purchase IS DISTINCT FROM true
 )
 """
 
-PAYERS = """, transfer_sellers AS (
-  SELECT seller_id, min(purchase_at) AS first_sell FROM star_purchase WHERE type = 'transfer_inbound' GROUP BY ALL
-), transfer_inbound AS (
-  SELECT sp.* FROM star_purchase AS sp
-  LEFT JOIN transfer_sellers AS ts ON sp.buyer_id = ts.seller_id AND sp.purchase_at < ts.first_sell
-  WHERE type <> 'top_up' AND ts.seller_id IS NULL AND sp.buyer_id IS NOT NULL
-), monthly_pay_user AS (
-  SELECT CAST(first_purchase_at AS DATE) AS date_key, pt.user_id, 'topup' AS type, star_package AS subtype,
-    CAST(tvs.id AS VARCHAR) AS transaction_id,
-    CAST(sum(CAST(pt.amount AS DECIMAL(28,4))) AS DOUBLE) / 100 AS usd_amount
-  FROM user_topup_transaction AS pt
-  LEFT JOIN billing_ledger AS tvs ON pt.id = CAST(tvs.paymee_order_id AS VARCHAR)
-  WHERE NOT tvs.user_id LIKE 'internal%'
-  GROUP BY ALL
+PAYERS = """, money AS (
+  SELECT CAST(t.first_purchase_at AS DATE) AS date_key, t.user_id, 'topup' AS type, t.star_package AS subtype,
+    CAST(l.id AS VARCHAR) AS transaction_id, CAST(t.amount AS DECIMAL(28,4)) AS amount, 100 AS unit
+  FROM user_topup_transaction AS t
+  JOIN billing_ledger AS l ON CAST(l.paymee_order_id AS VARCHAR) = t.id AND NOT starts_with(l.user_id, 'internal')
   UNION ALL
-  SELECT purchase_at, buyer_id, 'transfer_inbound', 'transfer_inbound', CAST(billing_transaction_id AS VARCHAR),
-    CAST(sum(CAST(amount AS DECIMAL(28,4))) AS DOUBLE) / 100
-  FROM transfer_inbound GROUP BY 1, 2, 3, 4, 5
+  SELECT p.purchase_at, p.buyer_id, p.type, p.type, CAST(p.billing_transaction_id AS VARCHAR), p.amount, 100
+  FROM star_purchase AS p
+  WHERE p.type = 'transfer_inbound' AND p.buyer_id IS NOT NULL AND p.purchase_at >= coalesce(
+    (SELECT min(q.purchase_at) FROM star_purchase AS q WHERE q.type = 'transfer_inbound' AND q.seller_id = p.buyer_id), p.purchase_at)
   UNION ALL
-  SELECT transaction_date, user_id,
-    CASE WHEN product_type = 'stripe' THEN 'membership_direct' ELSE product_type END,
-    product_type, consum_transaction_id, CAST(sum(CAST(usd_amount AS DECIMAL(28,4))) AS DOUBLE)
-  FROM direct_event WHERE product_type IN ('stripe', 'donation_direct') GROUP BY 1, 2, 3, 4, 5
+  SELECT transaction_date, user_id, replace(product_type, 'stripe', 'membership_direct'), product_type, consum_transaction_id,
+    CAST(usd_amount AS DECIMAL(28,4)), 1
+  FROM direct_event WHERE product_type IN ('stripe', 'donation_direct')
+), monthly_pay_user AS (
+  SELECT date_key, user_id, type, subtype, transaction_id, CAST(sum(amount) AS DOUBLE) / any_value(unit) AS usd_amount
+  FROM money GROUP BY ALL
 )
 """
 
-SEGMENTATION = """, monthly_data AS (
-  SELECT user_id, CAST(date_trunc('month', date_key) AS DATE) AS date_key,
-    CAST(sum(CAST(usd_amount AS DECIMAL(28,6))) AS DOUBLE) AS usd_amount,
-    count(DISTINCT transaction_id) AS transaction_count
-  FROM monthly_pay_user GROUP BY ALL
-), segmentation AS (
-  SELECT *,
-    CASE WHEN transaction_count = 1 AND usd_amount <= 15000 THEN 'N01. one_timer' WHEN usd_amount <= 30000 THEN 'N02. micro_user'
-      WHEN usd_amount <= 60000 THEN 'N03. light_user' WHEN usd_amount <= 150000 THEN 'N04. casual_user'
-      WHEN usd_amount <= 300000 THEN 'N05. power_user' WHEN usd_amount > 300000 THEN 'N06. whale_user'
-      ELSE 'others' END AS monthly_monetary_type,
-    CASE WHEN transaction_count = 1 AND usd_amount <= 15000 THEN 1 WHEN usd_amount <= 30000 THEN 2
-      WHEN usd_amount <= 60000 THEN 3 WHEN usd_amount <= 150000 THEN 4 WHEN usd_amount <= 300000 THEN 5
-      WHEN usd_amount > 300000 THEN 6 ELSE 0 END AS monthly_monetary_rank,
-    CASE WHEN transaction_count = 1 AND usd_amount <= 15000 THEN 'N01. tester' WHEN transaction_count = 1 THEN 'N02. one_timer'
-      WHEN transaction_count <= 3 THEN 'N03. occational_user' WHEN transaction_count <= 7 THEN 'N04. engaged_user'
-      WHEN transaction_count <= 10 THEN 'N05. regular_user' WHEN transaction_count > 10 THEN 'N06. enthusiastic_user'
-      ELSE 'others' END AS monthly_frequency_type,
-    CASE WHEN transaction_count = 1 AND usd_amount <= 15000 THEN 1 WHEN transaction_count = 1 THEN 2
-      WHEN transaction_count <= 3 THEN 3 WHEN transaction_count <= 7 THEN 4 WHEN transaction_count <= 10 THEN 5
-      WHEN transaction_count > 10 THEN 6 ELSE 0 END AS monthly_frequency_rank
-  FROM monthly_data
+SEGMENTATION = """, ranked AS (
+  SELECT *, CASE WHEN usd IS NULL THEN 0 WHEN n = 1 AND usd <= 15000 THEN 1
+      ELSE 2 + (usd > 30000)::INT + (usd > 60000)::INT + (usd > 150000)::INT + (usd > 300000)::INT END AS money,
+    CASE WHEN n = 1 AND usd <= 15000 THEN 1 WHEN n = 1 THEN 2 ELSE 3 + (n > 3)::INT + (n > 7)::INT + (n > 10)::INT END AS often
+  FROM (SELECT user_id, CAST(date_trunc('month', date_key) AS DATE) AS date_key, count(DISTINCT transaction_id) AS n,
+      CAST(sum(CAST(usd_amount AS DECIMAL(28,6))) AS DOUBLE) AS usd FROM monthly_pay_user GROUP BY 1, 2)
 ), monthly_segmentation AS (
-  SELECT DISTINCT CAST(date_trunc('month', u.date_key) AS DATE) AS date_key, u.user_id,
-    spp.usd_amount AS monthly_usd_amount, spp.transaction_count AS monthly_transaction_count,
-    spp.monthly_monetary_type, spp.monthly_monetary_rank, spp.monthly_frequency_type, spp.monthly_frequency_rank
-  FROM monthly_pay_user AS u
-  LEFT JOIN segmentation AS spp
-    ON u.user_id = spp.user_id AND CAST(date_trunc('month', u.date_key) AS DATE) = spp.date_key
+  SELECT u.date_key, u.user_id, k.usd AS monthly_usd_amount, k.n AS monthly_transaction_count,
+    k.money AS monthly_monetary_rank, k.often AS monthly_frequency_rank,
+    if(k.money = 0, 'others', ['N01. one_timer', 'N02. micro_user', 'N03. light_user', 'N04. casual_user', 'N05. power_user',
+      'N06. whale_user'][k.money]) AS monthly_monetary_type,
+    ['N01. tester', 'N02. one_timer', 'N03. occational_user', 'N04. engaged_user', 'N05. regular_user',
+      'N06. enthusiastic_user'][k.often] AS monthly_frequency_type
+  FROM (SELECT DISTINCT user_id, CAST(date_trunc('month', date_key) AS DATE) AS date_key FROM monthly_pay_user) AS u
+  LEFT JOIN ranked AS k ON k.user_id = u.user_id AND k.date_key = u.date_key
 )
 """
 
-FLAGGING = """, user_list AS (
-  SELECT user_id, monthly_monetary_type, monthly_frequency_type, date_key AS nearest_month,
-    CASE WHEN date_diff('month', date_trunc('month', date_key), DATE '2001-11-01') <= 3 THEN 'recently' ELSE 'long_ago' END AS retire_type
-  FROM monthly_segmentation
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date_key DESC NULLS LAST) = 1
-), latest AS (
-  SELECT user_id, max(monthly_monetary_type) AS max_rank_name_m, max(monthly_monetary_rank) AS max_rank_m,
-    max(monthly_frequency_type) AS max_rank_name_f, max(monthly_frequency_rank) AS max_rank_f
-  FROM monthly_segmentation WHERE date_key >= DATE '2001-09-01' GROUP BY ALL
-), pay_user_flagging AS (
-  SELECT ul.user_id, CASE WHEN lt.max_rank_m IS NULL THEN 'retired' ELSE 'active' END AS pay_user_type,
-    coalesce(lt.max_rank_name_m, 'Z. retired_' || ul.retire_type) AS current_monetary_type,
-    coalesce(lt.max_rank_name_f, 'Z. retired_' || ul.retire_type) AS current_frequency_type,
-    coalesce(lt.max_rank_m, 0) AS current_monetary_rank, coalesce(lt.max_rank_f, 0) AS current_frequency_rank,
-    coalesce(lt.max_rank_name_m, ul.monthly_monetary_type) AS latest_active_monetary_type,
-    coalesce(lt.max_rank_name_f, ul.monthly_frequency_type) AS latest_active_frequency_type,
-    ul.nearest_month AS nearest_active_month
-  FROM user_list AS ul LEFT JOIN latest AS lt ON ul.user_id = lt.user_id
+FLAGGING = """, pay_user_flagging AS (
+  SELECT user_id, last_month AS nearest_active_month, if(m_rank IS NULL, 'retired', 'active') AS pay_user_type,
+    coalesce(m_type, gone) AS current_monetary_type, coalesce(f_type, gone) AS current_frequency_type,
+    coalesce(m_rank, 0) AS current_monetary_rank, coalesce(f_rank, 0) AS current_frequency_rank,
+    coalesce(m_type, m_last) AS latest_active_monetary_type, coalesce(f_type, f_last) AS latest_active_frequency_type
+  FROM (SELECT user_id, max(date_key) AS last_month,
+      if(max(date_key) >= DATE '2001-08-01', 'Z. retired_recently', 'Z. retired_long_ago') AS gone,
+      max(monthly_monetary_rank) FILTER (date_key >= DATE '2001-09-01') AS m_rank,
+      max(monthly_monetary_type) FILTER (date_key >= DATE '2001-09-01') AS m_type,
+      max(monthly_frequency_rank) FILTER (date_key >= DATE '2001-09-01') AS f_rank,
+      max(monthly_frequency_type) FILTER (date_key >= DATE '2001-09-01') AS f_type,
+      arg_max(monthly_monetary_type, date_key) AS m_last, arg_max(monthly_frequency_type, date_key) AS f_last
+    FROM monthly_segmentation GROUP BY user_id)
 )
 """
 
 MASTER = """
-SELECT f.*,
-  CASE WHEN f.usd_amount <= 15000 THEN 'N01. 0.00 - 0.50 usd' WHEN f.usd_amount <= 30000 THEN 'N02. 0.51 - 1.00 usd'
-    WHEN f.usd_amount <= 90000 THEN 'N03. 1.01 - 3.00 usd' WHEN f.usd_amount <= 150000 THEN 'N04. 3.01 - 5.00 usd'
-    WHEN f.usd_amount <= 300000 THEN 'N05. 5.01 - 10.00 usd' WHEN f.usd_amount > 300000 THEN 'N06. > 10.00 usd'
-    ELSE 'others' END AS transaction_amount_group,
-  um.user_alias, um.suspended_at, um.suspend_reason, um.country AS user_country_code, um.email_domain, um.provider,
-  um.preferred_os_system, um.is_suspicious_user, um.is_sus_social OR um.is_suspicious_x_social AS is_suspicious_social,
-  um.analytics_user_contry_code
-FROM (
-  SELECT mpu.*, puw.monthly_usd_amount, puw.monthly_transaction_count, puw.monthly_monetary_type,
-    puw.monthly_frequency_type, puw.monthly_monetary_rank, puw.monthly_frequency_rank, puf.nearest_active_month,
-    puf.current_monetary_type, puf.current_frequency_type, puf.current_monetary_rank, puf.current_frequency_rank,
-    puf.latest_active_monetary_type, puf.latest_active_frequency_type, puf.pay_user_type
-  FROM monthly_pay_user AS mpu
-  LEFT JOIN monthly_segmentation AS puw
-    ON mpu.user_id = puw.user_id AND CAST(date_trunc('month', mpu.date_key) AS DATE) = puw.date_key
-  LEFT JOIN pay_user_flagging AS puf ON mpu.user_id = puf.user_id
-) AS f
-LEFT JOIN user_master AS um ON f.user_id = um.user_id
+SELECT l.date_key, l.user_id, l.type, l.subtype, l.transaction_id, l.usd_amount,
+  s.* EXCLUDE (user_id, date_key), p.* EXCLUDE (user_id), m.* EXCLUDE (user_id, country, is_sus_social, is_suspicious_x_social),
+  m.country AS user_country_code, m.is_sus_social OR m.is_suspicious_x_social AS is_suspicious_social,
+  if(l.usd_amount IS NULL, 'others', ['N01. 0.00 - 0.50 usd', 'N02. 0.51 - 1.00 usd', 'N03. 1.01 - 3.00 usd', 'N04. 3.01 - 5.00 usd',
+    'N05. 5.01 - 10.00 usd', 'N06. > 10.00 usd'][1 + (l.usd_amount > 15000)::INT + (l.usd_amount > 30000)::INT
+    + (l.usd_amount > 90000)::INT + (l.usd_amount > 150000)::INT + (l.usd_amount > 300000)::INT]) AS transaction_amount_group
+FROM monthly_pay_user AS l
+LEFT JOIN monthly_segmentation AS s ON s.user_id = l.user_id AND s.date_key = date_trunc('month', l.date_key)
+LEFT JOIN pay_user_flagging AS p ON p.user_id = l.user_id
+LEFT JOIN user_master AS m ON m.user_id = l.user_id
 """
 
 
@@ -239,24 +193,20 @@ def pay_user_master_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DAILY = """
-  SELECT CAST(t.created_at AS DATE) AS transaction_date, t.created_at AS transaction_datetime, t.order_id, t.user_id,
-    CAST(t.id AS VARCHAR) AS consum_transaction_id, CAST(sum(t.amount) AS BIGINT) / -100 AS usd_amount
-  FROM {source} AS t {where}
-  GROUP BY 1, 2, 3, 4, 5
+SELECT strftime(created_at, '%Y-%m-%d')::DATE AS transaction_date, created_at AS transaction_datetime, order_id, user_id,
+  id::VARCHAR AS consum_transaction_id, -(sum(amount)::BIGINT / 100) AS usd_amount
+FROM billing_ledger WHERE {where} GROUP BY ALL
 """
 
 
-@query("m07_daily_transaction", ROLES + DAILY.format(source="billing_ledger", where=""))
+@query("m07_daily_transaction", ROLES + DAILY.format(where="true"))
 def daily_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context(spark, sf_dir, ORDERS_AS_OF).ref("daily_transaction")
 
 
 @query(
     "m08_ledger_transaction",
-    ROLES
-    + DAILY.format(
-        source="billing_ledger", where="WHERE t.created_at >= DATE '1999-01-01' AND t.created_at < DATE '2000-01-01'"
-    ),
+    ROLES + DAILY.format(where="year(created_at) = 1999"),
 )
 def ledger_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over overlapping windows merge to the rows of both."""
@@ -267,18 +217,16 @@ def ledger_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FOLLOW = """
-  SELECT CAST(cf.created_at AS DATE) AS date_key, ch.owner_id, cf.follower_id, cf.created_at AS followed_at,
-    TIMESTAMP '1970-01-01 00:00:00' AS unfollowed_at, true AS following_status,
-    coalesce(au.auto_follow, 0) = 1 AS is_auto_follow, 'follow' AS note
-  FROM channel_follow AS cf
-  LEFT JOIN channel AS ch ON cf.channel_id = ch.id
-  LEFT JOIN user_account AS au ON cf.follower_id = au.id
-  WHERE cf.created_at >= TIMESTAMP '{as_of}' - INTERVAL 1 MONTH {more}
-  QUALIFY row_number() OVER (PARTITION BY ch.owner_id, cf.follower_id ORDER BY cf.created_at DESC, cf.channel_id) = 1
+  SELECT DISTINCT ON (c.owner_id, f.follower_id) CAST(f.created_at AS DATE) AS date_key, c.owner_id, f.follower_id,
+    f.created_at AS followed_at, make_timestamp(0) AS unfollowed_at, true AS following_status,
+    f.follower_id IN (SELECT id FROM user_account WHERE auto_follow = 1) AS is_auto_follow, 'follow' AS note
+  FROM channel_follow AS f LEFT JOIN channel AS c ON c.id = f.channel_id
+  WHERE f.created_at BETWEEN TIMESTAMP '{since}' AND TIMESTAMP '{until}'
+  ORDER BY c.owner_id, f.follower_id, f.created_at DESC, f.channel_id
 """
 
 
-@query("m09_latest_follow", ROLES + FOLLOW.format(as_of="2024-02-10", more=""))
+@query("m09_latest_follow", ROLES + FOLLOW.format(since="2024-01-10", until="2024-12-31"))
 def latest_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context(spark, sf_dir, dt.date(2024, 2, 10)).ref("latest_follow")
 
@@ -287,28 +235,21 @@ def latest_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     "m10_daily_follower_following",
     ROLES
     + ", first_run AS ("
-    + FOLLOW.format(as_of="2024-01-21", more="AND cf.created_at < TIMESTAMP '2024-01-21'")
-    + "), lf AS ("
-    + FOLLOW.format(as_of="2024-02-20", more="")
+    + FOLLOW.format(since="2023-12-21", until="2024-01-20 23:59:59.999999")
+    + "), second_run AS ("
+    + FOLLOW.format(since="2024-01-20", until="2024-12-31")
     + """), changes AS (
-  SELECT coalesce(lf.date_key, t.date_key) AS date_key, coalesce(lf.owner_id, t.owner_id) AS owner_id,
-    coalesce(lf.follower_id, t.follower_id) AS follower_id, coalesce(lf.followed_at, t.followed_at) AS followed_at,
-    CASE WHEN lf.owner_id IS NULL THEN TIMESTAMP '2024-02-20' ELSE TIMESTAMP '1970-01-01' END AS unfollowed_at,
-    lf.owner_id IS NOT NULL AS following_status, coalesce(lf.is_auto_follow, t.is_auto_follow) AS is_auto_follow,
-    CASE WHEN lf.owner_id IS NULL THEN 'unfollow' ELSE 'follow' END AS note
-  FROM first_run AS t
-  FULL JOIN lf ON t.owner_id = lf.owner_id AND t.follower_id = lf.follower_id AND t.date_key = lf.date_key
-  WHERE coalesce(lf.following_status, false) <> coalesce(t.following_status, false)
+  SELECT s.* REPLACE (if(owner_id IS NULL, TIMESTAMP '2024-02-20', unfollowed_at) AS unfollowed_at,
+    owner_id IS NOT NULL AS following_status, if(owner_id IS NULL, 'unfollow', note) AS note)
+  FROM second_run AS s ANTI JOIN first_run USING (owner_id, follower_id, date_key)
+  WHERE owner_id IS NULL OR date_key >= DATE '2024-02-17'
+  UNION ALL
+  SELECT f.* REPLACE (TIMESTAMP '2024-02-20' AS unfollowed_at, false AS following_status, 'unfollow' AS note)
+  FROM first_run AS f ANTI JOIN second_run USING (owner_id, follower_id, date_key)
 ), emitted AS (
-  SELECT * FROM changes
-  WHERE date_key >= DATE '2024-02-17' OR unfollowed_at >= DATE '2024-02-17'
-  QUALIFY row_number() OVER (PARTITION BY owner_id, follower_id ORDER BY date_key DESC) = 1
+  SELECT DISTINCT ON (owner_id, follower_id) * FROM changes ORDER BY owner_id, follower_id, date_key DESC
 )
-SELECT * FROM emitted
-UNION ALL
-SELECT t.* FROM first_run AS t
-LEFT JOIN emitted AS e ON t.owner_id = e.owner_id AND t.follower_id = e.follower_id AND t.date_key = e.date_key
-WHERE e.note IS NULL
+FROM emitted UNION ALL FROM first_run ANTI JOIN emitted USING (owner_id, follower_id, date_key)
 """,
 )
 def daily_follower_following(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,11 +264,8 @@ def daily_follower_following(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PERMISSION = """
-  SELECT DATE '{as_of}' AS created_at, au.id AS user_id, vst.alias AS alias, true AS is_allowed,
-    DATE '{as_of}' AS last_updated_at
-  FROM user_account AS au
-  LEFT JOIN {listed} AS vst ON CAST(vst.alias AS VARCHAR) = coalesce(CAST(au.alias AS VARCHAR), au.prev_alias)
-  WHERE vst.alias IS NOT NULL
+  SELECT u.id AS user_id, a.alias, true AS is_allowed, DATE '{as_of}' AS created_at, DATE '{as_of}' AS last_updated_at
+  FROM {listed} AS a JOIN user_account AS u ON coalesce(u.alias::VARCHAR, u.prev_alias) = a.alias::VARCHAR
 """
 
 
@@ -339,27 +277,13 @@ def latest_transfer_permission(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "m12_transfer_permission_history",
     ROLES
-    + ", early_list AS (SELECT s_suppkey AS alias FROM supplier WHERE s_acctbal < 6000), t AS ("
+    + ", early_list AS (SELECT s_suppkey AS alias FROM supplier WHERE s_acctbal < 6000), before AS ("
     + PERMISSION.format(as_of="2024-03-01", listed="early_list")
-    + "), lf AS ("
+    + "), now AS ("
     + PERMISSION.format(as_of="2024-03-03", listed="allow_list")
-    + """), insert_records AS (
-  SELECT coalesce(t.user_id, lf.user_id) AS user_id, coalesce(t.alias, lf.alias) AS alias,
-    CASE WHEN t.user_id IS NOT NULL AND lf.user_id IS NOT NULL THEN coalesce(t.is_allowed, lf.is_allowed)
-      WHEN lf.user_id IS NULL THEN false ELSE coalesce(lf.is_allowed, false) END AS is_allowed,
-    coalesce(t.created_at, lf.created_at) AS created_at,
-    coalesce(lf.last_updated_at, t.last_updated_at) AS last_updated_at,
-    CASE WHEN t.user_id IS NOT NULL AND lf.user_id IS NOT NULL THEN 'as_is'
-      WHEN t.user_id IS NULL THEN 'insert' ELSE 'update' END AS operation
-  FROM t FULL JOIN lf ON t.user_id = lf.user_id
-), emitted AS (
-  SELECT * EXCLUDE (operation) FROM insert_records
-  WHERE (created_at >= DATE '2024-02-29' OR last_updated_at >= DATE '2024-02-29') AND operation <> 'as_is'
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC) = 1
-)
-SELECT created_at, user_id, alias, is_allowed, last_updated_at FROM emitted
-UNION ALL
-SELECT t.* FROM t LEFT JOIN emitted AS e ON t.user_id = e.user_id WHERE e.user_id IS NULL
+    + """)
+SELECT * REPLACE (user_id IN (SELECT user_id FROM now) AS is_allowed) FROM before
+UNION ALL FROM now WHERE user_id NOT IN (SELECT user_id FROM before)
 """,
 )
 def transfer_permission_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,19 +301,18 @@ def transfer_permission_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "m13_content_access",
     ROLES
-    + """
-SELECT CAST(t.created_at AS DATE) AS transaction_date, t.created_at AS transaction_datetime,
-  coalesce(eo.event_code, bt.event_code) AS event_code, t.order_id, eo.product_id,
-  CAST(t.id AS VARCHAR) AS consum_transaction_id, bt.id AS revenue_transaction_id, ep.type, ep.subtype,
-  au2.id AS user_id, CAST(sum(t.amount) AS BIGINT) / -100 AS usd_amount
-FROM billing_ledger AS t
-LEFT JOIN ecom_order AS eo ON t.order_id = eo.id
-LEFT JOIN ecom_product AS ep ON ep.id = eo.product_id
-LEFT JOIN revenue_transaction AS bt ON bt.id = eo.billing_transaction_id
-LEFT JOIN user_account AS au ON bt.user_id = au.username
-LEFT JOIN user_account AS au2 ON t.user_id = au2.username
-WHERE t.type = 'consumption' AND ep.type = 'promo' AND t.created_at >= DATE '2001-07-30' - 2000
-GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10
+    + """, sales AS (
+  SELECT e.id AS order_id, e.product_id, p.type, p.subtype, r.id AS revenue_transaction_id,
+    ifnull(e.event_code, r.event_code) AS event_code
+  FROM ecom_product AS p JOIN ecom_order AS e ON e.product_id = p.id
+  LEFT JOIN revenue_transaction AS r ON r.id = e.billing_transaction_id
+  WHERE p.type = 'promo'
+)
+SELECT l.created_at::DATE AS transaction_date, l.created_at AS transaction_datetime, l.id::VARCHAR AS consum_transaction_id,
+  sales.*, (SELECT id FROM user_account WHERE username = l.user_id) AS user_id, -(sum(l.amount)::BIGINT / 100) AS usd_amount
+FROM sales JOIN billing_ledger AS l USING (order_id)
+WHERE l.type = 'consumption' AND l.created_at >= DATE '2001-07-30' - 2000
+GROUP BY ALL
 """,
 )
 def content_access(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,11 +54,12 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EDGES = """
-WITH e AS (SELECT user_id AS owner_id, event_type AS follower_id, ts FROM events),
-t AS (SELECT CAST(ts AS DATE) AS date_key, owner_id, follower_id, ts AS followed_at, true AS following_status, owner_id < 75 AS is_auto_follow
-  FROM e WHERE ts < TIMESTAMP '2024-01-27' QUALIFY row_number() OVER (PARTITION BY owner_id, follower_id ORDER BY ts DESC) = 1),
-lf AS (SELECT CAST(ts AS DATE) AS date_key, owner_id, follower_id, ts AS followed_at, true AS following_status, owner_id < 75 AS is_auto_follow
-  FROM e WHERE ts >= TIMESTAMP '2024-01-26' QUALIFY row_number() OVER (PARTITION BY owner_id, follower_id ORDER BY ts DESC) = 1)
+WITH edges AS (SELECT CAST(ts AS DATE) AS date_key, user_id AS owner_id, event_type AS follower_id, ts AS followed_at,
+  true AS following_status, user_id < 75 AS is_auto_follow FROM events),
+stored AS (SELECT DISTINCT ON (owner_id, follower_id) * FROM edges WHERE followed_at < DATE '2024-01-27'
+  ORDER BY owner_id, follower_id, followed_at DESC),
+snapshot AS (SELECT DISTINCT ON (owner_id, follower_id) * FROM edges WHERE followed_at >= DATE '2024-01-26'
+  ORDER BY owner_id, follower_id, followed_at DESC)
 """
 
 
@@ -82,16 +83,13 @@ def _edges(spark: SparkSession, sf_dir: str, kept) -> DataFrame:
     "i08_edge_diff",
     EDGES
     + """
-SELECT coalesce(lf.date_key, t.date_key) AS date_key, coalesce(lf.owner_id, t.owner_id) AS owner_id,
-  coalesce(lf.follower_id, t.follower_id) AS follower_id, coalesce(lf.followed_at, t.followed_at) AS followed_at,
-  CASE WHEN lf.owner_id IS NULL THEN TIMESTAMP '2024-01-31 06:00:00' ELSE TIMESTAMP '1970-01-01' END AS unfollowed_at,
-  lf.owner_id IS NOT NULL AS following_status, coalesce(lf.is_auto_follow, t.is_auto_follow) AS is_auto_follow,
-  CASE WHEN lf.owner_id IS NULL THEN 'unfollow' ELSE 'follow' END AS note
-FROM t FULL JOIN lf ON t.owner_id = lf.owner_id AND t.follower_id = lf.follower_id AND t.date_key = lf.date_key
-WHERE coalesce(lf.following_status, false) <> coalesce(t.following_status, false)
-  AND (coalesce(lf.date_key, t.date_key) >= DATE '2024-01-28' OR lf.owner_id IS NULL)
-QUALIFY row_number() OVER (PARTITION BY coalesce(lf.owner_id, t.owner_id), coalesce(lf.follower_id, t.follower_id)
-  ORDER BY coalesce(lf.date_key, t.date_key) DESC) = 1
+SELECT DISTINCT ON (owner_id, follower_id) * FROM (
+  SELECT *, make_timestamp(0) AS unfollowed_at, 'follow' AS note
+  FROM snapshot ANTI JOIN stored USING (owner_id, follower_id, date_key) WHERE date_key >= DATE '2024-01-28'
+  UNION ALL
+  SELECT * REPLACE (false AS following_status), TIMESTAMP '2024-01-31 06:00:00', 'unfollow'
+  FROM stored ANTI JOIN snapshot USING (owner_id, follower_id, date_key))
+ORDER BY owner_id, follower_id, date_key DESC
 """,
 )
 def edge_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,9 +99,11 @@ def edge_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DIMS = """
-WITH t AS (SELECT c_custkey AS user_id, c_name AS alias, c_acctbal > 2000 AS is_allowed, DATE '2024-03-01' - CAST(c_nationkey AS INTEGER) AS created_at,
-    DATE '2024-03-01' - CAST(c_nationkey AS INTEGER) AS last_updated_at FROM customer WHERE c_mktsegment <> 'BUILDING'),
-lf AS (SELECT c_custkey AS user_id, c_name AS alias, true AS is_allowed, DATE '2024-03-05' AS created_at, DATE '2024-03-05' AS last_updated_at
+WITH stored AS (SELECT c_custkey AS user_id, c_name AS alias, c_acctbal > 2000 AS is_allowed,
+    DATE '2024-03-01' - c_nationkey::INT AS created_at, DATE '2024-03-01' - c_nationkey::INT AS last_updated_at
+  FROM customer WHERE c_mktsegment <> 'BUILDING'),
+snapshot AS (SELECT c_custkey AS user_id, c_name AS alias, true AS is_allowed, DATE '2024-03-05' AS created_at,
+    DATE '2024-03-05' AS last_updated_at
   FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE'))
 """
 
@@ -126,11 +126,9 @@ def _dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     "i09_dim_diff",
     DIMS
     + """
-SELECT coalesce(t.user_id, lf.user_id) AS user_id, coalesce(t.alias, lf.alias) AS alias, t.user_id IS NULL AS is_allowed,
-  coalesce(t.created_at, lf.created_at) AS created_at, coalesce(lf.last_updated_at, t.last_updated_at) AS last_updated_at
-FROM t FULL JOIN lf ON t.user_id = lf.user_id
-WHERE (t.user_id IS NULL OR lf.user_id IS NULL) AND (coalesce(t.created_at, lf.created_at) >= DATE '2024-02-25'
-  OR coalesce(lf.last_updated_at, t.last_updated_at) >= DATE '2024-02-25')
+FROM snapshot ANTI JOIN stored USING (user_id)
+UNION ALL
+SELECT * REPLACE (false AS is_allowed) FROM stored ANTI JOIN snapshot USING (user_id) WHERE created_at >= DATE '2024-02-25'
 """,
 )
 def dim_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,10 +139,10 @@ def dim_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     "i09_dim_diff_strict",
     DIMS
     + """
-SELECT coalesce(t.user_id, lf.user_id) AS user_id, coalesce(t.alias, lf.alias) AS alias, lf.user_id IS NOT NULL AS is_allowed,
-  coalesce(t.created_at, lf.created_at) AS created_at, DATE '2024-03-05' AS last_updated_at
-FROM t FULL JOIN lf ON t.user_id = lf.user_id
-WHERE t.user_id IS NULL OR (lf.user_id IS NULL AND t.is_allowed) OR (lf.user_id IS NOT NULL AND NOT t.is_allowed)
+FROM snapshot ANTI JOIN stored USING (user_id)
+UNION ALL
+SELECT * REPLACE (NOT is_allowed AS is_allowed, DATE '2024-03-05' AS last_updated_at) FROM stored
+WHERE is_allowed <> (user_id IN (SELECT user_id FROM snapshot))
 """,
 )
 def dim_diff_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
