@@ -71,7 +71,7 @@ def product_slugs(ctx: Context, payments: DataFrame) -> DataFrame:
     product = field_value(payments, "gateway_response", "$.productId")
     keyed = payments.withColumn("_product", F.replace(product, F.lit(str(ctx.var("product_prefix", ""))), F.lit("")))
     packages = ctx.source("conversion_package").select(F.col("id").cast("string").alias("_product"), "slug")
-    return keyed.join(packages, "_product", "left").drop("_product", "gateway_response")
+    return spread_join(keyed, packages, "_product", "left").drop("_product", "gateway_response")
 
 
 def topup_class(ctx: Context, user: Column, gateway: Column, quantity: Column, kind: Column | None = None) -> Column:

@@ -130,6 +130,21 @@ def _swap_rows(result: DataFrame, table: str, emptied: Sequence[object] = ()) ->
     drop_partitions(spark, table, parts[0], emptied)
 
 
+def _swap_touched(result: DataFrame, fresh: DataFrame, table: str, part: str, touched: Sequence[object]) -> None:
+    """Store the new rows of the touched partitions.
+
+    A partition that receives no new row may have lost its last one. Only if there are such partitions is the result
+    staged, to see which of them ran empty.
+    """
+    receiving = {r[0] for r in fresh.select(part).distinct().collect()}
+    losing = [v for v in touched if v not in receiving]
+    if losing:
+        result = stage(result)
+        left = {r[0] for r in result.select(part).where(_within(part, losing)).distinct().collect()}
+        losing = [v for v in losing if v not in left]
+    _swap_rows(result, table, losing)
+
+
 def drop_partitions(spark: SparkSession, table: str, part: str, values: Sequence[object]) -> None:
     """Drop partitions by value, many per statement."""
     specs = [f"PARTITION (`{part}` = {'null' if v is None else repr(str(v))})" for v in values]
@@ -163,8 +178,7 @@ def replace_by_values(df: DataFrame, table: str, col: str) -> None:
     part = parts[0]
     touched = affected_slices(old, fresh, col, part, unique=False)
     kept = anti(old.where(_within(part, touched)), values, col)
-    remaining = {r[0] for r in kept.select(part).union(fresh.select(part)).distinct().collect()}
-    _swap_rows(kept.unionByName(fresh), table, [v for v in touched if v not in remaining])
+    _swap_touched(kept.unionByName(fresh), fresh, table, part, touched)
 
 
 def merge(
@@ -188,9 +202,8 @@ def merge(
         _swap_rows(upsert(old.where(_within(part, touched)), fresh, keys, version), table)
         return
     touched = affected_slices(old, fresh, keys, part)
-    result = stage(upsert(old.where(_within(part, touched)), fresh, keys, version))
-    remaining = {r[0] for r in result.select(part).distinct().collect()}
-    _swap_rows(result, table, [v for v in touched if v not in remaining])
+    result = upsert(old.where(_within(part, touched)), fresh, keys, version)
+    _swap_touched(result, fresh, table, part, touched)
 
 
 def compact_table(
