@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_SLICE = 1_000_000  # a key with more rows than this is cut into slices of about this size
+ROWS_PER_SLICE = 100_000  # a key with more rows than this is cut into slices of about this size
 MOST_HEAVY_KEYS = 10_000  # any other key holds less than one ten-thousandth of the rows
+MOST_SLICES = 4_096  # of one key; enough to keep a whole cluster busy with it
 NULL_SLICES = 1_024
 UNHASHABLE = (T.MapType, T.VariantType)
 
@@ -31,8 +32,9 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataF
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {rows_per_slice}")
     named = [f"`{k}` AS _h_{i}" for i, k in enumerate(keys)]
-    largest = counts.orderBy(F.desc("_n")).limit(MOST_HEAVY_KEYS)
-    return largest.selectExpr(*named, f"CAST(ceil(_n / {rows_per_slice}) AS INT) AS _slices")
+    # Ordered by key as well: both sides of a join must see the same list whenever it is computed.
+    largest = counts.orderBy(F.desc("_n"), *keys).limit(MOST_HEAVY_KEYS)
+    return largest.selectExpr(*named, f"CAST(least(ceil(_n / {rows_per_slice}), {MOST_SLICES}) AS INT) AS _slices")
 
 
 def _row_hash(df: DataFrame, spread_by: Sequence[str] | None) -> str:
