@@ -29,9 +29,9 @@ def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             subject, charset = decode_header(message.get("Subject", ""))[0]
             encoded = isinstance(subject, bytes)
             if encoded:
-                subject = subject.decode(charset or "utf-8", "replace")
+                subject = _decoded(subject, charset)
             body = "".join(
-                (part.get_payload(decode=True) or b"").decode(part.get_content_charset() or "utf-8", "replace")
+                _decoded(part.get_payload(decode=True) or b"", part.get_content_charset())
                 for part in message.walk()
                 if not part.is_multipart() and _is_text(part, message.is_multipart())
             )
@@ -39,6 +39,13 @@ def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARTS.split(", ")])
 
 
+def _decoded(content: bytes, charset: str | None) -> str:
+    try:
+        return content.decode(charset or "utf-8", "replace")
+    except LookupError:  # a charset nobody knows
+        return content.decode("utf-8", "replace")
+
+
 def _is_text(part, one_of_many: bool) -> bool:
     if not one_of_many:
         return True

@@ -160,15 +160,13 @@ def store(ctx: Context, m: Model) -> None:
 
 
 def run_slice(ctx: Context, name: str, start: dt.date, end: dt.date) -> None:
-    """Run one model for one window; its rows replace the slice's partitions, or merge by key if it has one."""
+    """Run one model for one window; its rows replace those of the window, or merge by key if it has one."""
     m = MODELS[name]
     sliced = ctx.with_params(start_date=start, end_date=end)
     if m.unique_key or not sliced.is_incremental(name) or not m.partition_by:
         store(sliced, m)
         return
-    ts, grain = m.partition_by
-    df = m.build(sliced)
-    tables.overwrite_partitions(df.withColumn(f"part_{ts}", tables.grain_of(df[ts], grain)), ctx.table(name))
+    tables.replace_slice(m.build(sliced), ctx.table(name), *m.partition_by, start, end)
 
 
 def backfill(ctx: Context, name: str, start: dt.date, end: dt.date, one_by_one: bool = False) -> None:

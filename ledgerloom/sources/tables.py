@@ -181,6 +181,22 @@ def replace_by_values(df: DataFrame, table: str, col: str) -> None:
     _swap_touched(kept.unionByName(fresh), fresh, table, part, touched)
 
 
+def replace_slice(df: DataFrame, table: str, ts: str, grain: str, start: dt.date, end: dt.date) -> None:
+    """Replace the rows with start <= ts < end of a table written by :func:`write_partitioned`.
+
+    Only partitions of that range are touched; rows outside the range stay, also where the range cuts a partition.
+    """
+    spark, part = df.sparkSession, f"part_{ts}"
+    fresh = stage(df.withColumn(part, grain_of(F.col(ts), grain)))
+    first, last = (grain_of(F.lit(d).cast("date"), grain) for d in (start, end))
+    old = spark.table(table).where((F.col(part) >= first) & (F.col(part) <= last))
+    inside = (F.col(ts) >= F.lit(start).cast("date")) & (F.col(ts) < F.lit(end).cast("date"))
+    result = old.where(~inside).unionByName(fresh.select(*old.columns))
+    remaining = {r[0] for r in result.select(part).distinct().collect()}
+    stored = [r[0] for r in old.select(part).distinct().collect()]
+    _swap_rows(result, table, [v for v in stored if v not in remaining])
+
+
 def merge(
     df: DataFrame, table: str, keys: Names, version: str | None = None, fixed_partition: bool = False
 ) -> None:

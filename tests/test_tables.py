@@ -84,6 +84,15 @@ def test_overwrite_partitions_keeps_the_others(spark, months):
     assert stored(spark, months) == [(1, "a"), (2, "b"), (4, "d"), (5, "n"), (9, "z")]
 
 
+def test_replace_slice_keeps_rows_outside(spark, months):
+    fresh = spark.createDataFrame([(8, at(2024, 1, 7), "x")], TYPES)
+    for _ in range(2):
+        tables.replace_slice(fresh, months, "day", "MONTH", dt.date(2024, 1, 6), dt.date(2024, 3, 1))
+        assert stored(spark, months) == [(1, "a"), (4, "d"), (5, "n"), (8, "x")]
+    tables.replace_slice(fresh.where("false"), months, "day", "MONTH", dt.date(2024, 1, 1), dt.date(2024, 2, 1))
+    assert stored(spark, months) == [(4, "d"), (5, "n")]
+
+
 def test_read_slice_prunes_partitions(spark, months):
     df = tables.read_slice(spark, months, dt.date(2024, 1, 8), dt.date(2024, 3, 1))
     assert sorted(r.k for r in df.collect()) == [2, 3]

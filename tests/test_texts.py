@@ -65,6 +65,13 @@ def test_normalize_messages(spark):
     assert "text" in three.body and "<p>html</p>" in three.body and "secret" not in three.body
 
 
+def test_odd_messages_do_not_stop_the_job(spark):
+    odd = [b"", b"no headers at all", mail("Subject: =?x-none?q?a=ff?=", "Content-Type: text/plain; charset=x-none", "", "body")]
+    df = spark.createDataFrame([(i, bytearray(m)) for i, m in enumerate(odd)], "id long, raw binary")
+    got = sorted(messages.normalize_messages(df).collect(), key=lambda r: r.id)
+    assert [r.sender for r in got] == [None, None, None] and got[2].body == "body"
+
+
 @pytest.mark.parametrize(
     "sender, body, amount",
     [
