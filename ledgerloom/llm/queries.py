@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import query, table
-from ledgerloom.llm import mixing, secrets, simhash, url_filter, warc
+from ledgerloom.llm import embeddings, mixing, secrets, simhash, url_filter, warc
 from ledgerloom.session import scratch_path
 
 
@@ -127,3 +127,8 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.classes(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_embedding_near_dedup")
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.classes(table(spark, folder, "embeddings"))
