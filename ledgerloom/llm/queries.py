@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import query, table
-from ledgerloom.llm import embeddings, mixing, secrets, simhash, url_filter, warc
+from ledgerloom.llm import embeddings, mixing, quality, secrets, simhash, toxicity, url_filter, warc
 from ledgerloom.session import scratch_path
 
 
@@ -132,3 +132,15 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_embedding_near_dedup")
 def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.classes(table(spark, folder, "embeddings"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op5_quality_resampling")
+def op5_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    found = quality.resample(table(spark, folder, "documents").select("doc_id", "text"), labels)
+    return found.select("doc_id", "log_weight", "key", "kept")

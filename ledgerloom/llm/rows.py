@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"  # a word of the contracts
-TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -30,36 +27,27 @@ def distinct_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def by_batch(build: Callable[[pa.RecordBatch], dict], schema: pa.Schema) -> Callable:
-    """A function for mapInArrow from one that turns a batch into named columns."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                made = build(batch)
-                yield pa.RecordBatch.from_arrays([pa.array(made[f.name], type=f.type) for f in schema], schema=schema)
-
-    return run
-
-
 class Hashes(dict):
-    """Token to 64-bit hash, remembered; forgets all at ``limit`` tokens, so memory stays bounded."""
+    """Token to a 64-bit number by ``value``, remembered; forgets all at ``limit`` tokens, so memory stays bounded."""
 
-    def __init__(self, seed: int = 0, limit: int = 400_000, clean: Callable[[str], str] | None = None) -> None:
+    def __init__(self, value: Callable[[str], int], limit: int = 300_000) -> None:
         super().__init__()
-        self.seed, self.limit, self.clean = seed, limit, clean
+        self.value, self.limit = value, limit
 
     def __missing__(self, token: str) -> int:
         if len(self) >= self.limit:
             self.clear()
-        plain = self.clean(token) if self.clean else token
-        value = self[token] = xxhash.xxh64_intdigest(plain.encode("utf-8", "surrogatepass"), self.seed)
+        value = self[token] = self.value(token)
         return value
 
     def of(self, tokens: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
 
 
+def hashed(token: str, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), seed)
+
+
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,3 +67,20 @@ def grams(words: np.ndarray, *steps: int) -> np.ndarray:
         at += step
         out = mixed(out * ODD + words[at : at + n])
     return out
+
+
+def share(column: Column, part: float, seed: int) -> Column:
+    """Keeps about that part of the values, always the same ones."""
+    return F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(1 << 30)) < int(min(max(part, 0.0), 1.0) * (1 << 30))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, most: int, seed: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, text, label`` of documents with a label: about ``most`` ids at most, always the same ones.
+
+    ``labels`` has ``doc_id, label`` (0 or 1; null ids and labels are left out, of several labels the largest counts).
+    Only the chosen ids are sent to the documents, whose texts are not shuffled.
+    """
+    known = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = known.filter(share(F.col("doc_id"), most / max(known.count(), 1), seed))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return own.join(F.broadcast(chosen), "doc_id")
