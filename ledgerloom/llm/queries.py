@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import query, table
-from ledgerloom.llm import embeddings, mixing, quality, secrets, simhash, toxicity, url_filter, warc
+from ledgerloom.llm import decontamination, embeddings, mixing, quality, secrets, simhash, toxicity, url_filter, warc
 from ledgerloom.session import scratch_path
 
 
@@ -144,3 +144,9 @@ def op5_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
     found = quality.resample(table(spark, folder, "documents").select("doc_id", "text"), labels)
     return found.select("doc_id", "log_weight", "key", "kept")
+
+
+@query("op4_benchmark_decontamination")
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "start_word", "end_word")
