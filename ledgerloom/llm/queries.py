@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import query, table
-from ledgerloom.llm import decontamination, embeddings, mixing, quality, secrets, simhash, toxicity, url_filter, warc
+from ledgerloom.llm import decontamination, embeddings, mixing, quality, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
 from ledgerloom.session import scratch_path
 
 
@@ -150,3 +150,9 @@ def op5_quality_resampling(spark: SparkSession, folder: str) -> DataFrame:
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "score", "start_word", "end_word")
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.removed(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
