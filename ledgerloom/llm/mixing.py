@@ -99,7 +99,7 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     Rows that agree in every column stand for each other, so their copies are added up.
     """
     key, copy = distinct_name(docs, "_key"), distinct_name(docs, "copy")
-    own = F.concat_ws(":", F.xxhash64(*docs.columns), F.crc32(F.concat_ws("\x00", *[F.col(c).cast("string") for c in docs.columns])))
+    own = F.concat_ws(":", F.xxhash64(*docs.columns), F.xxhash64(F.lit(1), *docs.columns))
     counted = mix(docs, key=own, **options).filter("copies > 0")
     counted = stage(counted.groupBy("key").agg(F.sum("copies").alias("copies"), F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target")), "copies")
     kept = [distinct_name(docs, c) for c in ("size", "source_size", "target")]

@@ -133,7 +133,7 @@ def resample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int
     spark = docs.sparkSession
     docs = docs.drop("log_weight", "key", "kept")
     chosen = stage(labelled(docs, labels, sample, seed, doc_id, text), "labelled")
-    ratio = log_ratio(counts(chosen.filter("label > 0").select("text")), counts(docs.select(F.coalesce(F.col(text), F.lit("")))))
+    ratio = log_ratio(counts(chosen.filter("label > 0").select("text")), counts(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))))
     known = weighed(chosen, ratio).select("label", "log_weight").toPandas()
     least = cut(known["log_weight"].to_numpy(), known["label"].to_numpy() > 0)
     u = (F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit(seed)), F.lit(1 << 53)) + 0.5) / float(1 << 53)

@@ -84,3 +84,19 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int, seed: int, doc_id: s
     chosen = known.filter(share(F.col("doc_id"), most / max(known.count(), 1), seed))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return own.join(F.broadcast(chosen), "doc_id")
+
+
+ROW = "_row"
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """All columns as fields of one, so that no operator's column can clash with them; ``field`` names one of them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+
+
+def field(name: str) -> str:
+    return f"{ROW}.`{name}`"
+
+
+def unboxed(df: DataFrame, like: DataFrame) -> DataFrame:
+    return df.select(*[F.col(field(c)).alias(c) for c in like.columns])

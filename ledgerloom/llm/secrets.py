@@ -107,16 +107,14 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def masked(docs: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret in the text replaced by ``mask``; overlapping spans are replaced together.
+def masked(text: str, mask: str = "[SECRET]") -> Column:
+    """The text with every span of ``secrets`` (of a scanned frame) replaced by ``mask``; overlapping spans are one.
 
-    Columns and rows stay as they are, a null text too.
+    A null text stays null.
     """
-    df = scan(docs, text)
     # walking the spans in order keeps the pieces of text between them; upto is the end of what is masked so far
     zero = "named_struct('upto', 0, 'pieces', cast(array() AS array<string>))"
-    gap = f"if(s.start >= acc.upto, array(substr(`{text}`, acc.upto + 1, s.start - acc.upto)), cast(array() AS array<string>))"
+    gap = f"if(s.start >= acc.upto, array(substr({text}, acc.upto + 1, s.start - acc.upto)), cast(array() AS array<string>))"
     step = f"named_struct('upto', greatest(acc.upto, s.end), 'pieces', concat(acc.pieces, {gap}))"
-    out = f"aggregate(secrets, {zero}, (acc, s) -> {step}, acc -> array_join(concat(acc.pieces, array(substr(`{text}`, acc.upto + 1))), '{mask}'))"
-    new = F.when(F.size("secrets") > 0, F.expr(out)).otherwise(F.col(text))
-    return df.withColumn("_masked", new).select(*[F.col("_masked").alias(c) if c == text else F.col(c) for c in docs.columns])
+    out = f"aggregate(secrets, {zero}, (acc, s) -> {step}, acc -> array_join(concat(acc.pieces, array(substr({text}, acc.upto + 1))), '{mask}'))"
+    return F.when(F.size("secrets") > 0, F.expr(out)).otherwise(F.expr(text))

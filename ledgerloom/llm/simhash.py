@@ -117,17 +117,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dis
     """The rows of ``docs`` whose id is the smallest of their component; columns as they were.
 
     Of several rows with that id in one component (other texts, repeated rows, null ids) one stays: the one with the
-    lowest fingerprint and text hash.
+    lowest text hash, and of equal ones any.
     """
-    key, fp = distinct_name(docs, "_key"), distinct_name(docs, "_fp")
-    marked = F.xxhash64(F.col(text), F.lit(7))
-    slim = docs.select(F.col(doc_id).alias("doc_id"), marked.alias("key"), F.col(text).alias("text"))
-    own = stage(fingerprints(slim), "fingerprints")
-    nodes = stage(own.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("least")), "nodes")
+    row, key, least = F.struct(*docs.columns).alias("row"), F.xxhash64(F.col(text), F.lit(7)).alias("key"), F.col(doc_id).alias("doc_id")
+    own = stage(fingerprints(docs.select(least, key, F.col(text).alias("text"))), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("least")
+    nodes = stage(own.groupBy(F.col("fingerprint").alias("fp")).agg(first), "nodes")
     roots = connected(links(nodes.select("fp"), distance))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("least", F.coalesce("component", "fp").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias(fp), F.col("least.key").alias(key))
-    kept = stage(kept, "kept")
-    numbered = docs.withColumn(key, marked)
-    found = numbered.join(kept.withColumnRenamed(key, "_k2"), (numbered[key] == F.col("_k2")) & numbered[doc_id].eqNullSafe(F.col(fp)), "left_semi")
-    return found.dropDuplicates([doc_id, key]).select(*[found[c] for c in docs.columns])
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("_id"), F.col("least.key").alias("_key"))
+    found = docs.select(row, least, key).join(stage(kept, "kept"), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return found.dropDuplicates(["doc_id", "key"]).select("row.*")
