@@ -124,7 +124,7 @@ def word_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def filter_places(hashes: DataFrame, column: str) -> np.ndarray:
     """Places of the filter that some hash fills; at most 2**FILTER_BITS numbers."""
-    return hashes.select(F.shiftrightunsigned(column, 64 - FILTER_BITS).cast("int").alias("at")).distinct().toPandas()["at"].to_numpy(np.int64)
+    return hashes.select(F.shiftrightunsigned(column, 64 - FILTER_BITS).cast("int").alias("at")).distinct().toArrow()["at"].to_numpy()
 
 
 def item_seeds(items: DataFrame) -> DataFrame:

@@ -56,9 +56,9 @@ def counts(texts: DataFrame) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
 
-    added = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    added = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << BITS)
-    out[added["bucket"].to_numpy(np.int64)] = added["n"]
+    out[added["bucket"].to_numpy()] = added["n"].to_numpy()
     return out
 
 
@@ -134,7 +134,7 @@ def resample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int
     docs = docs.drop("log_weight", "key", "kept")
     chosen = stage(labelled(docs, labels, sample, seed, doc_id, text), "labelled")
     ratio = log_ratio(counts(chosen.filter("label > 0").select("text")), counts(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))))
-    known = weighed(chosen, ratio).select("label", "log_weight").toPandas()
+    known = weighed(chosen, ratio).select("label", "log_weight").toArrow()
     least = cut(known["log_weight"].to_numpy(), known["label"].to_numpy() > 0)
     u = (F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit(seed)), F.lit(1 << 53)) + 0.5) / float(1 << 53)
     keyed = stage(weighed(docs, ratio, text).withColumn("key", F.col("log_weight") - F.log(-F.log(u))), "keyed")

@@ -24,7 +24,7 @@ LENGTH = 100  # bytes
 GRAM = 32  # bytes that are hashed
 WINDOW = LENGTH - GRAM + 1  # hashes in a window
 BUFFER = 1 << 18  # bytes that are hashed together
-FILTER_BITS = 26  # the filter of repeated hashes has 2**FILTER_BITS bits, 8 MB, sent to every task
+FILTER_BITS = 25  # the filter of repeated hashes has 2**FILTER_BITS bits, 4 MB, sent to every task
 PROBES = (0, 19, 38)  # a hash fills the bits that its digits from these on name
 SHARD = 1 << 24  # bytes from which on the segments gathered in a task are sorted; one hash may go beyond it
 LAST = (1 << 63) - 1  # takes the place of a null id
@@ -108,9 +108,9 @@ def filter_of(hashes: DataFrame) -> Broadcast:
     """The filter's bits, as bytes: 2**FILTER_BITS at most, whatever the number of hashes."""
     probes = F.array(*[F.shiftrightunsigned("hash", p).bitwiseAND((1 << FILTER_BITS) - 1).cast("int") for p in PROBES])
     spread = hashes.select(F.explode(probes).alias("probe"))
-    filled = spread.groupBy(F.shiftright("probe", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, probe & 63)")).alias("bits")).toPandas()
+    filled = spread.groupBy(F.shiftright("probe", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, probe & 63)")).alias("bits")).toArrow()
     bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-    bits[filled["word"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64).view(np.uint64)
+    bits[filled["word"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64)
     return hashes.sparkSession.sparkContext.broadcast(bits)
 
 

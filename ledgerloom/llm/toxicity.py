@@ -84,8 +84,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
         at = np.flatnonzero(weights)
         return pd.DataFrame({"at": at, "weight": weights[at]})
 
-    found = hashed_texts.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "at long, weight double").toPandas()
-    return found["at"].to_numpy(np.int64), found["weight"].to_numpy(np.float64)
+    found = hashed_texts.groupBy(F.lit(0).alias("one")).applyInPandas(learn, "at long, weight double").toArrow()
+    return found["at"].to_numpy(), found["weight"].to_numpy()
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text", name: str = "score") -> DataFrame:
