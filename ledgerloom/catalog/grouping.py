@@ -148,8 +148,7 @@ REFUND_KEY = "CASE WHEN l_linestatus = 'F' THEN l_orderkey END"
     "w02_refund_flag",
     f"""
 SELECT l_orderkey, l_linenumber, l_partkey,
-  CASE WHEN checkout_id IS NULL THEN false
-    ELSE sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY checkout_id) <> 0 END AS is_refunded
+  sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY checkout_id) <> 0 AS is_refunded
 FROM (SELECT *, {REFUND_KEY} AS checkout_id FROM lineitem)
 """,
 )

@@ -10,18 +10,16 @@ from ledgerloom.catalog.roles import ROLES, context
 from ledgerloom.catalog.marts import EVENTS_AS_OF
 from ledgerloom.functions.dates import month_start
 from ledgerloom.functions.jsonpath import json_scalar
-from ledgerloom.operators.filters import date_slice
 from ledgerloom.operators.joins import anti_before_first, rejoin_totals, spread_join
 
 
 @query(
     "j01_left",
-    "SELECT c.c_custkey, o.o_orderkey FROM customer AS c LEFT JOIN orders AS o ON c.c_custkey = o.o_custkey AND o.o_totalprice > 450000",
+    "SELECT c.c_custkey, o.o_orderkey FROM customer AS c LEFT JOIN orders AS o ON c.c_custkey = o.o_custkey",
 )
 def left(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey")
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 450000")
-    orders = orders.select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
     return spread_join(customers, orders, "c_custkey", "left", hot="both")
 
 
@@ -39,12 +37,12 @@ def inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     "j03_full_one_key",
     """
 SELECT coalesce(a.k, b.k) AS user_id, a.n AS orders, b.n AS events
-FROM (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_totalprice > 400000 GROUP BY 1) AS a
+FROM (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) AS a
 FULL JOIN (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1) AS b ON a.k = b.k
 """,
 )
 def full_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 400000")
+    orders = table(spark, sf_dir, "orders")
     a = orders.groupBy(F.col("o_custkey").alias("user_id")).agg(F.count(F.lit(1)).alias("orders"))
     b = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
     return a.join(b, "user_id", "full")
@@ -234,18 +232,3 @@ def rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     joined = rejoin_totals(events, ["user_id"], event_types=F.countDistinct("event_type"), n=F.count(F.lit(1)))
     return joined.drop("event_type")
-
-
-@query(
-    "j05_slice_of_buyers",
-    """
-SELECT o_orderkey FROM orders AS o WHERE o_orderdate >= DATE '1999-01-01' AND o_orderdate < DATE '1999-07-01'
-  AND NOT EXISTS (SELECT 1 FROM (SELECT o_custkey, min(o_orderdate) AS f FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) AS s
-    WHERE s.o_custkey = o.o_custkey AND o.o_orderdate < s.f)
-""",
-)
-def slice_of_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    firsts = orders.where("o_orderstatus = 'O'").groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"))
-    chosen = date_slice(orders, "o_orderdate", "1999-01-01", "1999-07-01")
-    return anti_before_first(chosen, firsts, "o_custkey", "o_custkey", "o_orderdate", "first").select("o_orderkey")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 import ledgerloom.plans.marts  # noqa: F401  (registers the models)
 from ledgerloom.catalog import query
 from ledgerloom.catalog.roles import ROLES, context
-from ledgerloom.operators.incremental import upsert
 from ledgerloom.plans.registry import Context, run, run_slice
 from ledgerloom.session import scratch_database
 
@@ -358,7 +357,11 @@ QUALIFY row_number() OVER (PARTITION BY creator_id, ingest_cycle ORDER BY ingest
 """,
 )
 def copied_table_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = context(spark, sf_dir, ORDERS_AS_OF).ref("copied_table")
-    cut = F.lit("1998-06-01").cast("date")
-    old, new = rows.where(F.col("ingest_at") < cut), rows.where(F.col("ingest_at") >= cut)
-    return upsert(old, new, ["creator_id", "ingest_cycle"], "ingest_at", "payout_id")
+    """Stored in two runs: the later rows first, so that most rows of the second run lose by their version."""
+    ctx = context(spark, sf_dir, ORDERS_AS_OF, scratch_database(spark))
+    rows, sources = ctx.source("copied_table"), ctx.sources
+    later = F.col("ingest_at") >= F.lit("1998-06-01").cast("date")
+    for part in (rows.where(later), rows.where(~later)):
+        ctx.sources = ChainMap({"copied_table": part}, sources)
+        run(ctx, "copied_table")
+    return ctx.target("copied_table").drop("part_ingest_at")

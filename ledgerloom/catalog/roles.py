@@ -68,7 +68,7 @@ def transfer_permission(t) -> DataFrame:
 
 
 def post(t) -> DataFrame:
-    return t("documents").select(F.substring("source", 4, 9).cast("bigint").alias("owner_id"), "text")
+    return t("documents").select(F.expr("substr(source, 4)").cast("bigint").alias("owner_id"), "text")
 
 
 def billing_ledger(t) -> DataFrame:

@@ -29,7 +29,7 @@ def model_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctx.ref("daily_transaction").select("consum_transaction_id", "user_id")
 
 
-@query("s03_stored_target", ROLES + "SELECT * FROM copied_table")
+@query("s03_stored_target", ROLES + "SELECT * FROM copied_table QUALIFY row_number() OVER (PARTITION BY creator_id, ingest_cycle ORDER BY ingest_at DESC, payout_id) = 1")
 def stored_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = context(spark, sf_dir, dt.date(2001, 8, 5), scratch_database(spark))
     run(ctx, "copied_table")

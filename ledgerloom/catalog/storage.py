@@ -15,7 +15,7 @@ from ledgerloom.plans.registry import backfill, run
 from ledgerloom.session import scratch_database, scratch_path
 from ledgerloom.sources import tables
 from ledgerloom.sources.readers import load_csv
-from ledgerloom.streaming.copy import continuous_copy
+from ledgerloom.streaming.copy import continuous_copy, read_copy
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,15 +212,14 @@ def truncate_and_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("k18_continuous_copy", "SELECT * FROM events")
 def streamed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over the same files: the second finds nothing new."""
-    target, checkpoint = scratch_path(spark, "copy"), scratch_path(spark, "copy-state")
-    schema = table(spark, sf_dir, "events").schema
-    for _ in range(2):
-        stream = continuous_copy(
-            spark, f"{sf_dir}/events*.parquet", schema, target, checkpoint, ["event_id"], "ts", "30 days"
-        )
-        stream.awaitTermination()
-    return spark.read.schema(schema).parquet(target)
+    """Two deliveries, the second one of older rows and with some of the first again; then a run that finds nothing new."""
+    source, target, checkpoint = (scratch_path(spark, x) for x in ("delivery", "copy", "copy-state"))
+    events = table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (events.where(~early), events.where(early | (F.col("event_id") % 3 == 0)), events.limit(0)):
+        part.write.mode("append").parquet(source)
+        continuous_copy(spark, source, events.schema, target, checkpoint, ["event_id"]).awaitTermination()
+    return read_copy(spark, events.schema, target)
 
 
 @query("i01_i16_stored_models", ROLES + "SELECT CAST(id AS VARCHAR) AS consum_transaction_id, user_id FROM billing_ledger")
@@ -232,11 +231,11 @@ def stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.ledger_transaction").select("consum_transaction_id", "user_id")
 
 
-@query("i04_i06_lazy_duplicates", "SELECT * FROM orders WHERE o_orderdate >= DATE '1997-01-01'")
+@query("i04_i06_lazy_duplicates", "SELECT * FROM orders")
 def lazy_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows appended twice, read as if merged, then compacted in place."""
     name = f"{scratch_database(spark)}.t"
-    orders = table(spark, sf_dir, "orders").where("o_orderdate >= DATE '1997-01-01'")
+    orders = table(spark, sf_dir, "orders")
     for _ in range(2):
         tables.write_partitioned(orders, name, "o_orderdate", "YEAR", "append")
     tables.compact_table(spark, name, "o_orderkey", "o_orderdate", "o_custkey")
@@ -263,11 +262,7 @@ def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def copy_and_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query result to typed ingest to merged model, without passing the driver."""
     database = scratch_database(spark)
-    source = context(spark, sf_dir, dt.date(2001, 8, 5)).source("copied_table")
-    newest = source.groupBy("creator_id", "ingest_cycle").agg(
-        F.max_by(F.struct("ingest_at", "payout_id", "amount"), F.struct("ingest_at", -F.col("payout_id"))).alias("r")
-    )
-    rows = newest.select("creator_id", "ingest_cycle", "r.*")
+    rows = context(spark, sf_dir, dt.date(2001, 8, 5)).source("copied_table")
     tables.ingest(rows, f"{database}.landing", "truncate", "ingest_at")
     landed = spark.table(f"{database}.landing").drop("part_ingest_at")
     ctx = context(spark, sf_dir, dt.date(2001, 8, 5), database)

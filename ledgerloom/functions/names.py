@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import chain, count
 
 from pyspark.sql import DataFrame
 
@@ -23,15 +24,11 @@ def standard_name(name: str) -> str:
 
 def unique_names(names: Sequence[str]) -> list[str]:
     """A repeated name gets the first free suffix of _2, _3, ..."""
-    result: list[str] = []
-    seen: set[str] = set()
+    taken: dict[str, None] = {}  # in the order of the columns
     for name in names:
-        candidate, n = name, 2
-        while candidate in seen:
-            candidate, n = f"{name}_{n}", n + 1
-        seen.add(candidate)
-        result.append(candidate)
-    return result
+        choices = chain([name], (f"{name}_{n}" for n in count(2)))
+        taken[next(c for c in choices if c not in taken)] = None
+    return list(taken)
 
 
 def standardize_columns(df: DataFrame) -> DataFrame:

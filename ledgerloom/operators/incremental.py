@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.cases import case_when, state_changed
 from ledgerloom.functions.dates import back
@@ -23,10 +24,14 @@ Names = str | Sequence[str]
 
 
 def read_final(df: DataFrame, keys: Names, version: str | None = None, tie: Names = ()) -> DataFrame:
-    """A replacing table read as if merged: the highest version of each key."""
-    if version is None:
-        return df.dropDuplicates(as_list(keys))
-    return latest_per_key(df, keys, version, tie)
+    """A replacing table read as if merged: the highest version of each key.
+
+    Without a version the row that comes first by ``tie``, then by a hash of its values, stands for its key.
+    """
+    if version is not None:
+        return latest_per_key(df, keys, version, tie)
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return latest_per_key(df.withColumn("_any", F.xxhash64(*hashable)), keys, (), [*as_list(tie), "_any"]).drop("_any")
 
 
 def compact(target: DataFrame, keys: Names, version: str | None = None, tie: Names = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import to_gmt7
 from ledgerloom.functions.text import clean_text, contains_words, extract_email, remove_accents, strip_symbols
 from ledgerloom.operators.incremental import process_remaining
-from ledgerloom.session import spread_small
+from ledgerloom.session import spread_rows
 
 PARTS = "id string, subject string, encoded boolean, sender_text string, date_text string, body_text string"
 
@@ -26,10 +26,9 @@ def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for key, raw in zip(batch["id"], batch["raw"]):
             message = message_from_bytes(bytes(raw))
-            subject, charset = decode_header(message.get("Subject", ""))[0]
-            encoded = isinstance(subject, bytes)
-            if encoded:
-                subject = _decoded(subject, charset)
+            parts = decode_header(message.get("Subject", ""))
+            encoded = any(charset is not None or isinstance(text, bytes) for text, charset in parts)
+            subject = "".join(_decoded(text, charset) if isinstance(text, bytes) else text for text, charset in parts)
             body = "".join(
                 _decoded(part.get_payload(decode=True) or b"", part.get_content_charset())
                 for part in message.walk()
@@ -60,7 +59,7 @@ def normalize_messages(raw: DataFrame, key: str = "id", content: str = "raw") ->
     symbols, plain ones stay as they are. A date of another shape is passed on unchanged.
     """
     source = raw.select(F.col(key).cast("string").alias("id"), F.col(content).cast("binary").alias("raw"))
-    parts = spread_small(source).mapInPandas(_parts, PARTS)
+    parts = spread_rows(source).mapInPandas(_parts, PARTS)
     subject = F.when(F.col("encoded"), strip_symbols(remove_accents(F.col("subject")))).otherwise(F.col("subject"))
     return parts.select(
         "id",

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import spread_small
+from ledgerloom.session import spread_rows
 
 # Not part of the visible page: comments, scripts and style sheets.
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -148,7 +148,7 @@ def page_records(
             yield pd.DataFrame(rows, columns=["url", "details", "district", "address"])
 
     source = pages.select(F.col(url).alias("url"), F.col(html).alias("html"))
-    return spread_small(source).mapInPandas(read, "url string, details map<string,string>, district string, address string")
+    return spread_rows(source).mapInPandas(read, "url string, details map<string,string>, district string, address string")
 
 
 def details_to_columns(records: DataFrame, keys: Sequence[str]) -> DataFrame:

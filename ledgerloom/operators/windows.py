@@ -27,9 +27,9 @@ def latest_per_key(
 def any_in_group(
     df: DataFrame, key: str, condition: Column, name: str, count_on: DataFrame | None = None
 ) -> DataFrame:
-    """Add a flag: does any row of the key meet the condition? Rows without a key get false."""
-    marked = df.where(condition & F.col(key).isNotNull()).select(key).distinct().withColumn(name, F.lit(True))
-    joined = spread_join(df, marked, key, "left", count_left=count_on)
+    """Add a flag: does any row of the key meet the condition? All rows without a key are one group."""
+    marked = df.where(condition).select(key).distinct().withColumn(name, F.lit(True))
+    joined = spread_join(df, marked, key, "left", null_safe=True, count_left=count_on)
     return joined.withColumn(name, F.coalesce(name, F.lit(False)))
 
 

@@ -578,6 +578,7 @@ def slice_copy(ctx: Context) -> DataFrame:
     partition_by=("ingest_at", "MONTH"),
     unique_key=("creator_id", "ingest_cycle"),
     version="ingest_at",
+    tie=("payout_id",),
 )
 def copied_table(ctx: Context) -> DataFrame:
     """A table copied from elsewhere, merged by creator and cycle; the latest ingest wins."""

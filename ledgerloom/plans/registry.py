@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions.dates import month_windows
 from ledgerloom.operators.filters import date_slice
+from ledgerloom.operators.incremental import compact
 from ledgerloom.session import stage
 from ledgerloom.sources import tables
 
@@ -28,6 +29,7 @@ class Model:
     unique_key: tuple[str, ...] = ()
     version: str | None = None
     fixed_partition: bool = False
+    tie: tuple[str, ...] = ()
     pre: Callable[[Context], None] | None = None
     post: Callable[[Context], None] | None = None
 
@@ -145,11 +147,13 @@ def store(ctx: Context, m: Model) -> None:
         return
     incremental = m.materialized == "incremental" and ctx.is_incremental(m.name)
     df = m.build(ctx)
+    if m.unique_key and not incremental:
+        df = compact(df, m.unique_key, m.version, m.tie)  # a keyed table holds each key once from its first run on
     if incremental and m.unique_key:
         if m.partition_by:
             ts, grain = m.partition_by
             df = df.withColumn(f"part_{ts}", tables.grain_of(df[ts], grain))
-        tables.merge(df, table, m.unique_key, m.version, m.fixed_partition)
+        tables.merge(df, table, m.unique_key, m.version, m.fixed_partition, m.tie)
     else:
         mode = "append" if incremental else "overwrite"
         if m.partition_by:

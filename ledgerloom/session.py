@@ -71,12 +71,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Rows of a small input spread over all cores, for work that is slow per row.
-
-    A small file is one split and would keep one core busy. An input of more than one default split per core (128 MB)
-    is left as it is, so what is shuffled here stays small whatever the size of the data.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if estimate < cores * 128 * 1024 * 1024 else df
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the shuffle partitions, for work that is slow per row: a file may be a single split."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-from collections.abc import Mapping, Sequence
+import io
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import islice
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.filters import date_slice
-from ledgerloom.operators.numbering import number_rows
 
 # Which files an inventory keeps, and which names it skips (matched at the start of the name).
 KEPT_KINDS = (
@@ -35,6 +37,17 @@ def load_csv_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
+def _grid_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of CSV files, counted from 1 in each; empty lines count but are left out."""
+    csv.field_size_limit(1 << 30)
+    for batch in batches:
+        for text, file in zip(*(c.to_pylist() for c in batch.columns)):
+            numbered = ((n, cells) for n, cells in enumerate(csv.reader(io.StringIO(text, newline="")), 1) if cells)
+            while some := list(islice(numbered, 10_000)):
+                numbers, cells = zip(*some)
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(some)), pa.array(numbers, pa.int64()), pa.array(cells, pa.list_(pa.string()))], names=["file", "row", "cells"])
+
+
 def load_grid(
     spark: SparkSession,
     path: str,
@@ -47,33 +60,22 @@ def load_grid(
 
     A folder may hold several files of the same layout. ``columns`` and ``rows`` (first and last, counted from 1) cut
     a range out of a single sheet first, and ``header_row`` then counts from the first row of the range. Every column
-    is text. Cells must not hold line breaks.
+    is text. A quoted cell may hold line breaks; a file is read by one task.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_place"),
-    )
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    placed = files.mapInArrow(_grid_rows, "file string, row long, cells array<string>")
     if rows:
-        numbered = number_rows(lines, ["_file", "_block", "_place"], "_line")
-        lines = numbered.where(F.col("_line").between(*rows)).withColumns({"_block": F.lit(0), "_place": F.col("_line")})
-    # The first block of a file is read by one task, so its lines have consecutive places.
-    starts = lines.where("_block = 0").groupBy("_file").agg(F.min("_place").alias("_start"))
-    placed = lines.join(starts, "_file", "left")
-    row = F.col("_place") - F.col("_start") + 1
-    head = placed.where((F.col("_block") == 0) & (row == header_row)).select("value").first()
+        placed = placed.where(F.col("row").between(*rows)).withColumn("row", F.col("row") - (rows[0] - 1))
+    head = placed.where(F.col("row") == header_row).orderBy("file").select("cells").first()
     if head is None:
         raise ValueError(f"{path} has no row {header_row}")
     first, last = columns or (1, None)
-    all_names = next(csv.reader([head.value]))
+    all_names = head.cells
     width = len(all_names)
-    cells = ", ".join(f"c{i} string" for i in range(width))
-    body = placed.where((F.col("_block") > 0) | (row > header_row))
-    parsed = body.select(F.from_csv("value", cells).alias("c"))
+    parsed = placed.where(F.col("row") > header_row)
 
     def cell(i: int) -> Column:
-        text = F.coalesce(F.col(f"c.c{i}"), F.lit(""))
+        text = F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
         return F.nullif(text, F.lit("")) if blank_to_null else text
 
     chosen = range(first - 1, last or width)

@@ -130,19 +130,14 @@ def _swap_rows(result: DataFrame, table: str, emptied: Sequence[object] = ()) ->
     drop_partitions(spark, table, parts[0], emptied)
 
 
-def _swap_touched(result: DataFrame, fresh: DataFrame, table: str, part: str, touched: Sequence[object]) -> None:
-    """Store the new rows of the touched partitions.
+def _swap_touched(result: DataFrame, table: str, part: str, touched: Sequence[object]) -> None:
+    """Store the rows that the touched partitions have now, and drop those of them that the result leaves empty.
 
-    A partition that receives no new row may have lost its last one. Only if there are such partitions is the result
-    staged, to see which of them ran empty.
+    Only the result tells: a new row that loses by its version does not keep its partition alive.
     """
-    receiving = {r[0] for r in fresh.select(part).distinct().collect()}
-    losing = [v for v in touched if v not in receiving]
-    if losing:
-        result = stage(result)
-        left = {r[0] for r in result.select(part).where(_within(part, losing)).distinct().collect()}
-        losing = [v for v in losing if v not in left]
-    _swap_rows(result, table, losing)
+    result = stage(result)
+    left = {r[0] for r in result.select(part).distinct().collect()}
+    _swap_rows(result, table, [v for v in touched if v not in left])
 
 
 def drop_partitions(spark: SparkSession, table: str, part: str, values: Sequence[object]) -> None:
@@ -178,7 +173,7 @@ def replace_by_values(df: DataFrame, table: str, col: str) -> None:
     part = parts[0]
     touched = affected_slices(old, fresh, col, part, unique=False)
     kept = anti(old.where(_within(part, touched)), values, col)
-    _swap_touched(kept.unionByName(fresh), fresh, table, part, touched)
+    _swap_touched(kept.unionByName(fresh), table, part, touched)
 
 
 def replace_slice(df: DataFrame, table: str, ts: str, grain: str, start: dt.date, end: dt.date) -> None:
@@ -198,7 +193,7 @@ def replace_slice(df: DataFrame, table: str, ts: str, grain: str, start: dt.date
 
 
 def merge(
-    df: DataFrame, table: str, keys: Names, version: str | None = None, fixed_partition: bool = False
+    df: DataFrame, table: str, keys: Names, version: str | None = None, fixed_partition: bool = False, tie: Names = ()
 ) -> None:
     """Upsert into a stored table; see :func:`ledgerloom.operators.incremental.upsert`.
 
@@ -210,16 +205,16 @@ def merge(
     old = spark.table(table)
     parts = partition_columns(spark, table)
     if not parts:
-        _swap_rows(upsert(old, fresh, keys, version), table)
+        _swap_rows(upsert(old, fresh, keys, version, tie), table)
         return
     part = parts[0]
     if fixed_partition:
         touched = [r[0] for r in fresh.select(part).distinct().collect()]
-        _swap_rows(upsert(old.where(_within(part, touched)), fresh, keys, version), table)
+        _swap_rows(upsert(old.where(_within(part, touched)), fresh, keys, version, tie), table)
         return
     touched = affected_slices(old, fresh, keys, part)
-    result = upsert(old.where(_within(part, touched)), fresh, keys, version)
-    _swap_touched(result, fresh, table, part, touched)
+    result = upsert(old.where(_within(part, touched)), fresh, keys, version, tie)
+    _swap_touched(result, table, part, touched)
 
 
 def compact_table(
@@ -242,10 +237,14 @@ def update_table(
     expiry_days: int | None = None,
     partition_expiry_days: int | None = None,
     partition_filter: bool = False,
+    as_of: dt.date | None = None,
 ) -> None:
     """Load a frame: ``truncate`` replaces the table, ``append`` adds, ``truncate_partition`` replaces the values of
-    the partition column that occur in the frame. Expiry settings are kept as table properties."""
+    the partition column that occur in the frame. Expiry settings are kept as table properties;
+    ``expiry_days`` counts from ``as_of``."""
     spark = df.sparkSession
+    if expiry_days and as_of is None:
+        raise ValueError("expiry_days needs as_of, the day from which it counts")
     if mode not in ("truncate", "append", "truncate_partition"):
         raise ValueError(f"unknown mode {mode!r}")
     timed = partition_col is not None and grain is not None
@@ -260,7 +259,7 @@ def update_table(
     else:
         write_partitioned(df, table, partition_col, grain, disposition)
     if expiry_days:
-        set_table_expiry(spark, table, expiry_days, dt.datetime.now(dt.timezone.utc).date())
+        set_table_expiry(spark, table, expiry_days, as_of)
     if partition_expiry_days and timed:
         set_property(spark, table, "partition.expiry.days", partition_expiry_days)
         if partition_filter:

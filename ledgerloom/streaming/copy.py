@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+BATCH = "_batch"  # partition column of a keyed copy: the micro-batch that brought the row
+
 
 def continuous_copy(
     spark: SparkSession,
@@ -15,21 +16,35 @@ def continuous_copy(
     target: str,
     checkpoint: str,
     keys: list[str] | None = None,
-    ts: str | None = None,
-    delay: str = "1 hour",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append new files of a Parquet folder to a target folder as they arrive.
+    """Append new files of a Parquet folder to a target folder as they arrive, however old their rows are.
 
-    With keys and a time column, rows replayed within ``delay`` are written once; the state is bounded by the
-    watermark. The file sink commits each micro-batch through its own log, so a restarted query repeats nothing.
+    With keys, a row whose key has been copied before is not copied again; rows with a null key all are. A micro-batch
+    then is a folder of its own that a repeated attempt overwrites, and is joined to the keys of the earlier ones, so
+    nothing is kept in memory between batches and nothing is discarded by time.
     """
-    rows: DataFrame = spark.readStream.schema(schema).parquet(source)
-    if keys and ts:
-        # Watermarks need an instant; a time without zone is read in the session's zone for this purpose only.
-        rows = rows.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
-        rows = rows.dropDuplicatesWithinWatermark(keys).drop("_event_time")
-    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    rows = spark.readStream.schema(schema).parquet(source)
+    if keys:
+
+        def store(batch: DataFrame, number: int) -> None:
+            complete = batch.dropna(subset=keys)
+            fresh = complete.dropDuplicates(keys).unionByName(batch.where(" OR ".join(f"`{k}` IS NULL" for k in keys)))
+            if number > 0:
+                earlier = read_copy(batch.sparkSession, schema, target, number).select(*keys)
+                fresh = fresh.join(earlier, keys, "left_anti").select(*batch.columns)
+            fresh.write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
+
+        writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    else:
+        writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start(target)
+    return writer.start(target) if not keys else writer.start()
+
+
+def read_copy(spark: SparkSession, schema: T.StructType, target: str, before: int | None = None) -> DataFrame:
+    """Rows of a keyed copy, or only those of the micro-batches before a number."""
+    stored = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    rows = spark.read.schema(stored).parquet(target)
+    return (rows if before is None else rows.where(f"{BATCH} < {before}")).drop(BATCH)

@@ -74,7 +74,7 @@ def test_latest_per_key_ties_and_nulls(spark, rows):
 def test_any_in_group(spark, rows):
     df = spark.createDataFrame([(1, "REFUNDED"), (1, "CHARGED"), (2, None), (None, "REFUNDED")], "k int, s string")
     flagged = any_in_group(df, "k", F.col("s") == "REFUNDED", "hit")
-    assert rows(flagged) == [(1, "CHARGED", True), (1, "REFUNDED", True), (2, None, False), (None, "REFUNDED", False)]
+    assert rows(flagged) == [(1, "CHARGED", True), (1, "REFUNDED", True), (2, None, False), (None, "REFUNDED", True)]
 
 
 def test_net_equals(spark, rows):

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators import checks
 from ledgerloom.sources import readers, tables
-from ledgerloom.streaming.copy import continuous_copy
+from ledgerloom.streaming.copy import continuous_copy, read_copy
 
 TYPES = "k int, day timestamp_ntz, v string"
 
@@ -231,15 +231,25 @@ def test_checks(spark):
     assert checks.is_blank(df.where("k IS NULL")).first()[0] and checks.is_blank(df.where("false")).first()[0]
 
 
-def test_streamed_copy_skips_replayed_rows(spark, tmp_path):
+def test_streamed_copy_takes_late_rows_and_skips_replayed_ones(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-
-    def arrive(keys):
-        data = [(k, at(2024, 1, 1) + dt.timedelta(minutes=k)) for k in keys]
+    for days in ({1: 20, 3: 20}, {2: 1, 3: 20}, {None: 1}):  # the second delivery is older
+        data = [(k, at(2024, 1, day)) for k, day in days.items()]
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(source)
+        continuous_copy(spark, source, schema, target, state, ["k"]).awaitTermination()
+    copied = read_copy(spark, schema, target).collect()
+    assert sorted((r.k for r in copied), key=str) == [1, 2, 3, None]
+
+
+def test_merge_drops_partitions_that_lost_their_last_row(spark, database, rows):
+    name, fields = f"{database}.moved", "k string, version int, part string"
+    tables.write(spark.createDataFrame([("k1", 10, "P"), ("k2", 1, "Q")], fields), name, partition_by=["part"])
+    tables.merge(spark.createDataFrame([("k1", 5, "Q"), ("k2", 2, "R")], fields), name, "k", "version")
+    assert rows(spark.table(name).select("k", "version", "part")) == [("k1", 10, "P"), ("k2", 2, "R")]
 
-    for keys in (range(3), range(2, 5)):
-        arrive(keys)
-        continuous_copy(spark, source, schema, target, state, ["k"], "ts", "1 day").awaitTermination()
-    assert sorted(r.k for r in spark.read.schema(schema).parquet(target).collect()) == [0, 1, 2, 3, 4]
+
+def test_load_grid_keeps_line_breaks_in_cells(spark, tmp_path, rows):
+    path = tmp_path / "grid.csv"
+    path.write_text('title\na,b\n1,"x\ny"\n2,\n')
+    assert rows(readers.load_grid(spark, str(path), header_row=2)) == [("1", "x\ny"), ("2", None)]
