@@ -65,6 +65,12 @@ def test_normalize_messages(spark):
     assert "text" in three.body and "<p>html</p>" in three.body and "secret" not in three.body
 
 
+def test_all_parts_of_an_encoded_subject(spark):
+    raw = b"Subject: =?utf-8?Q?Giao_d?= plain =?utf-8?Q?_two?=\nFrom: a@b.c\n\nbody"
+    df = spark.createDataFrame([("1", bytearray(raw))], "id string, raw binary")
+    assert messages.normalize_messages(df).first().subject.split() == ["Giao", "d", "plain", "two"]
+
+
 def test_odd_messages_do_not_stop_the_job(spark):
     odd = [b"", b"no headers at all", mail("Subject: =?x-none?q?a=ff?=", "Content-Type: text/plain; charset=x-none", "", "body")]
     df = spark.createDataFrame([(i, bytearray(m)) for i, m in enumerate(odd)], "id long, raw binary")
