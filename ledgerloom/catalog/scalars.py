@@ -330,3 +330,17 @@ def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = dates.month_start(F.col("o_orderdate"))
     spans = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min(month).alias("a"), F.max(month).alias("b"))
     return spans.select("o_custkey", F.explode(dates.spine_array(F.col("a"), F.col("b"), 1, "months")).alias("month"))
+
+
+@query(
+    "l03_descending_dates",
+    """
+SELECT o_custkey, strftime(unnest(generate_series(max(o_orderdate)::DATE, min(o_orderdate)::DATE, -INTERVAL 7 DAY)), '%Y-%m-%d') AS week
+FROM orders GROUP BY o_custkey
+""",
+)
+def descending_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks counted down from a buyer's last order to the first, as text."""
+    day = F.to_date("o_orderdate")
+    spans = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min(day).alias("a"), F.max(day).alias("b"))
+    return spans.select("o_custkey", F.explode(dates.falling_text(F.col("a"), F.col("b"), 7, "days")).alias("week"))

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 import ledgerloom.plans.marts  # noqa: F401  (registers the models)
 from ledgerloom.catalog import query, table
 from ledgerloom.catalog.roles import ROLES, context
-from ledgerloom.plans.registry import backfill, run
+from ledgerloom.functions.dates import refresh_windows
+from ledgerloom.operators.sets import union_all
+from ledgerloom.plans.registry import backfill, run, run_slice
 from ledgerloom.session import scratch_database, scratch_path
 from ledgerloom.sources import tables
 from ledgerloom.sources.readers import load_csv
@@ -160,13 +162,33 @@ def add_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-@query("k11_table_schema")
+@query(
+    "k11_table_schema",
+    """
+SELECT column_name AS "column", CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  ELSE lower(data_type) END AS type
+FROM information_schema.columns WHERE table_name = 'orders'
+""",
+)
 def table_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{scratch_database(spark)}.t"
     tables.write(table(spark, sf_dir, "orders"), name)
     return spark.createDataFrame(tables.table_schema(spark, name), "column string, type string")
 
 
+@query("k12_expire_table", "SELECT * FROM orders WHERE o_orderkey % 2 = 0")
+def expired_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in two tables, of which one has expired by the day of the clean-up and the other has not."""
+    database, orders = scratch_database(spark), table(spark, sf_dir, "orders")
+    names = [f"{database}.even", f"{database}.odd"]
+    for name, rest, days in zip(names, (0, 1), (60, 10)):
+        tables.write(orders.where(F.col("o_orderkey") % 2 == rest), name)
+        tables.set_table_expiry(spark, name, days, dt.date(2001, 1, 1))
+    for name in names:
+        tables.expire_table(spark, name, dt.date(2001, 2, 1))
+    return union_all(*[spark.table(n) for n in names if tables.exists(spark, n)])
+
+
 @query("k13_expire_partitions", ORDERS + "WHERE date_trunc('month', o_orderdate) >= DATE '2001-08-01' - 365")
 def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also sets and checks an expiry for the whole table, which has not come yet."""
@@ -254,6 +276,18 @@ def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctx.target("slice_copy").drop("part_created_at")
 
 
+@query(
+    "i11_rolling_refresh",
+    ROLES + "SELECT * FROM sliced_table WHERE created_at >= DATE '2023-10-01' AND created_at < DATE '2024-03-01'",
+)
+def rolling_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of the last four months and this one, each built as a slice of its own, twice."""
+    ctx = context(spark, sf_dir, dt.date(2024, 2, 10), scratch_database(spark))
+    for first, last in 2 * refresh_windows(ctx.as_of):
+        run_slice(ctx, "slice_copy", first, last)
+    return ctx.target("slice_copy").drop("part_created_at")
+
+
 @query(
     "i17_copy_and_build",
     ROLES

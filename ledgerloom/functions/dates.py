@@ -74,6 +74,12 @@ def spine_array(start: Column, end: Column, n: int = 1, unit: str = "days") -> C
     return F.sequence(start, end, F.expr(f"INTERVAL {int(n)} {UNITS[unit]}"))
 
 
+def falling_text(start: Column, end: Column, n: int = 1, unit: str = "days") -> Column:
+    """All steps counted down from end to start, as ``yyyy-MM-dd`` text."""
+    steps = F.sequence(end, start, -F.expr(f"INTERVAL {int(n)} {UNITS[unit]}"))
+    return F.transform(steps, lambda d: F.date_format(d, "yyyy-MM-dd"))
+
+
 def date_spine(
     spark: SparkSession,
     start: dt.date,
@@ -90,7 +96,7 @@ def date_spine(
     if ascending:
         steps = F.sequence(first, last, step)
     else:
-        steps = F.transform(F.sequence(last, first, -step), lambda d: F.date_format(d, "yyyy-MM-dd"))
+        steps = falling_text(first, last, n, unit)
     steps = F.when(first <= last, steps)
     return spark.range(1).select(F.explode(steps).alias("step"))
 
