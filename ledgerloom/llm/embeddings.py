@@ -112,7 +112,7 @@ def classes(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", la
     name = F.when(good, F.xxhash64("label", "vector"))
     rows = stage(rows.withColumn("vector", F.when(good, F.col("vector"))).withColumn("label", F.when(good, F.col("label"))).withColumn("hash", name), "vectors")
     groups = rows.filter("vector IS NOT NULL").groupBy("hash", "label", "vector").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
-    # equal hashes of different vectors would be one node: the turn within the hash keeps them apart
+    # numbered, not named by the hash: different vectors may share a hash
     nodes = stage(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
     total = nodes.count()
     part = min(1.0, SAMPLE / max(total, 1))

@@ -107,7 +107,7 @@ def decisions(urls: DataFrame, rule_table: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, rule_table: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
-    """``pages`` without their other columns' loss: every column, then ``host, path, rule, verdict`` (clashing names are replaced).
+    """Every column of ``pages``, then ``host, path, priority, rule, verdict`` (clashing ones are replaced).
 
     Without a fitting rule the verdict is ``default`` and the rule null; null and malformed URLs have an empty host
     and path. Repeated rows stay.
