@@ -10,7 +10,7 @@ from ledgerloom.catalog.roles import ROLES, context
 from ledgerloom.catalog.marts import EVENTS_AS_OF
 from ledgerloom.functions.dates import month_start
 from ledgerloom.functions.jsonpath import json_scalar
-from ledgerloom.operators.joins import anti_before_first, rejoin_totals, spread_join
+from ledgerloom.operators.joins import anti_before_first, even_join, rejoin_totals, spread_join
 
 
 @query(
@@ -30,7 +30,7 @@ def left(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return spread_join(lines, orders, "l_orderkey", "inner").select("l_orderkey", "l_linenumber", "o_custkey")
+    return lines.join(orders, "l_orderkey", "inner").select("l_orderkey", "l_linenumber", "o_custkey")
 
 
 @query(
@@ -96,7 +96,7 @@ def coalesced_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     alias = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey")).cast("string")
     users = table(spark, sf_dir, "customer").select("c_custkey", F.coalesce(alias, F.col("c_nationkey").cast("string")).alias("_k"))
     listed = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("_k"), "s_suppkey")
-    return spread_join(users, listed, "_k", "inner").select("s_suppkey", "c_custkey")
+    return users.join(listed, "_k", "inner").select("s_suppkey", "c_custkey")
 
 
 @query(
@@ -111,7 +111,7 @@ def json_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = context(spark, sf_dir, EVENTS_AS_OF)
     ledger = ctx.source("billing_ledger").select("id", json_scalar(F.col("metadata"), "$.sender_alias").alias("_k"))
     users = ctx.source("user_account").select(F.col("prev_alias").alias("_k"), F.col("id").alias("seller_id"))
-    return spread_join(ledger, users, "_k", "inner").drop("_k")
+    return ledger.join(users, "_k", "inner").drop("_k")
 
 
 @query(
@@ -127,7 +127,7 @@ def month_and_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = events.groupBy("user_id", month_start(F.col("ts")).alias("_m")).agg(F.count(F.lit(1)).alias("n"))
     shifted = F.add_months(F.to_date("o_orderdate"), 276)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("user_id"), month_start(shifted).alias("_m"))
-    return spread_join(orders, months, ["user_id", "_m"], "left").select("o_orderkey", "n")
+    return even_join(orders, months, ["user_id", "_m"], "left").select("o_orderkey", "n")
 
 
 @query(
@@ -138,7 +138,7 @@ def month_and_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def using(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"), "o_orderkey")
     events = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("event_count"))
-    return spread_join(orders, events, "user_id", "left")
+    return even_join(orders, events, "user_id", "left")
 
 
 @query(
@@ -161,10 +161,10 @@ def two_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     sellers = table(spark, sf_dir, "supplier").join(country("seller", "s_nationkey"), "s_nationkey", "left")
     sellers = sellers.select(F.col("s_suppkey").alias("l_suppkey"), "seller_country")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    bought = spread_join(orders, buyers, "o_custkey", "left").drop("o_custkey")
+    bought = orders.join(buyers, "o_custkey", "left").drop("o_custkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    sold = spread_join(lines, sellers, "l_suppkey", "left")
-    joined = spread_join(sold, bought, "l_orderkey", "inner", count_left=lines)
+    sold = lines.join(sellers, "l_suppkey", "left")
+    joined = sold.join(bought, "l_orderkey", "inner")
     return joined.select("l_orderkey", "l_linenumber", "buyer_country", "seller_country")
 
 
@@ -184,13 +184,12 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").join(nation, "c_nationkey", "left")
     customer = customer.select(F.col("c_custkey").alias("o_custkey"), "c_name", "n_name", "r_name")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    orders = spread_join(orders, customer, "o_custkey", "left").drop("o_custkey")
+    orders = orders.join(customer, "o_custkey", "left").drop("o_custkey")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    wide = spread_join(lines, part, "l_partkey", "left")
-    wide = spread_join(wide, supplier, "l_suppkey", "left", count_left=lines)
-    wide = spread_join(wide, orders, "l_orderkey", "left", count_left=lines)
+    wide = lines.join(part, "l_partkey", "left")
+    wide = wide.join(supplier, "l_suppkey", "left").join(orders, "l_orderkey", "left")
     return wide.drop("l_partkey", "l_suppkey")
 
 

@@ -148,9 +148,9 @@ def payers(spark: SparkSession, sf_dir: str) -> Context:
 
 
 def purchases_kept(spark: SparkSession, sf_dir: str) -> Context:
-    """The payer ledger reads the purchases twice, so their few columns it needs are stored first."""
+    """The payer ledger reads the purchases twice, so the transfers, in the few columns it needs, are stored first."""
     columns = ("type", "seller_id", "buyer_id", "purchase_at", "billing_transaction_id", "amount")
-    return payers(spark, sf_dir).keep("star_purchase", *columns)
+    return payers(spark, sf_dir).keep("star_purchase", *columns, where="type = 'transfer_inbound'")
 
 
 @query("m01_star_purchase", ROLES + STAR_PURCHASE + "SELECT * FROM star_purchase")

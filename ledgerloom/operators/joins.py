@@ -1,8 +1,8 @@
 """Joins that stay balanced when one key holds a large share of the rows, and joins with a residual condition.
 
-The adaptive planner splits a skewed join side only where that side comes straight out of a shuffle and the other side
-does too. It cannot help where one side is an aggregate on the join key (an existence test, a per-key total), nor split
-the right side of a left outer join. ``spread_join`` covers these cases.
+The adaptive planner splits a skewed join side where both sides come straight out of a shuffle, so a plain join is right
+wherever tables meet. Two cases are left: ``even_join`` is for a right side that is an aggregate on the join key (an
+existence test, a per-key total), ``spread_join`` for heavy keys on the right of a left outer join.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 100_000  # a key with more rows than this is cut into slices of about this size
-MOST_HEAVY_KEYS = 10_000  # any other key holds less than one ten-thousandth of the rows
-MOST_SLICES = 4_096  # of one key; enough to keep a whole cluster busy with it
+SHARES = 10_000  # a heavy key holds more than one such share of all rows, so there are fewer heavy keys than this
 NULL_SLICES = 1_024
 UNHASHABLE = (T.MapType, T.VariantType)
 
@@ -27,14 +26,15 @@ def as_list(names: str | Sequence[str]) -> list[str]:
 def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int) -> DataFrame:
     """Keys (as ``_h_0``, ...) with more rows than a slice should have, and the number of ``_slices`` for each.
 
-    At most ``MOST_HEAVY_KEYS`` rows whatever the size of the input, so the result may be broadcast. The count is a
-    partial aggregate that reads the key columns alone. It only decides how work is cut, never what is returned.
+    A slice is ``rows_per_slice`` rows or one of ``SHARES`` equal shares of all rows, whichever is more. So there are less
+    than ``SHARES`` such keys, with less than twice as many slices in all, whatever the size of the input: the list may
+    be broadcast. The count is a partial aggregate that reads the key columns alone, the total reads no column. Both
+    only decide how work is cut, never what is returned.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(f"_n > {rows_per_slice}")
-    named = [f"`{k}` AS _h_{i}" for i, k in enumerate(keys)]
-    # Ordered by key as well: both sides of a join must see the same list whenever it is computed.
-    largest = counts.orderBy(F.desc("_n"), *keys).limit(MOST_HEAVY_KEYS)
-    return largest.selectExpr(*named, f"CAST(least(ceil(_n / {rows_per_slice}), {MOST_SLICES}) AS INT) AS _slices")
+    total = df.select(F.count(F.lit(1))).scalar()
+    slice_rows = F.greatest(F.lit(rows_per_slice), F.ceil(total / SHARES))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn("_slice", slice_rows).where("_n > _slice")
+    return counts.selectExpr(*[f"`{k}` AS _h_{i}" for i, k in enumerate(keys)], "CAST(ceil(_n / _slice) AS INT) AS _slices")
 
 
 def _row_hash(df: DataFrame, spread_by: Sequence[str] | None) -> str:
@@ -48,6 +48,31 @@ def _match(left: Sequence[str], right: Sequence[str], null_safe: bool = False) -
     return F.expr(" AND ".join(f"`{a}` {equal} `{b}`" for a, b in zip(left, right)))
 
 
+def even_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str],
+    how: str = "left",
+    null_safe: bool = False,
+    residual: Column | None = None,
+) -> DataFrame:
+    """Join rows to an aggregate on the same key so that heavy keys on the left, NULL among them, are split at run time.
+
+    The planner would take the aggregate as it lies, and the adaptive planner splits nothing then. A second key that is
+    always equal makes it shuffle the aggregate, one row per key, for the join. Same result as a plain join; supports
+    inner, left, left_semi and left_anti. Columns other than the keys must have different names.
+    """
+    keys = as_list(on)
+    names = [f"_r_{i}" for i in range(len(keys))]
+    rest = [] if how in ("left_semi", "left_anti") and residual is None else [f"`{c}`" for c in right.columns if c not in keys]
+    same = f"pmod(xxhash64({', '.join(f'`{k}`' for k in keys)}), 1)"
+    near = left.selectExpr("*", f"{same} AS _same")
+    far = right.selectExpr(*[f"`{k}` AS {n}" for k, n in zip(keys, names)], f"{same} AS _r_same", *rest)
+    condition = _match(keys, names, null_safe) & _match(["_same"], ["_r_same"])
+    joined = near.join(far, condition if residual is None else condition & residual, how)
+    return joined.selectExpr(*[f"`{c}`" for c in left.columns], *(rest if how in ("inner", "left") else []))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -130,7 +155,6 @@ def anti_before_first(
     first_key: str,
     ts: str,
     first_ts: str,
-    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Drop the rows of a key that lie before that key's first time in ``firsts``.
 
@@ -139,10 +163,10 @@ def anti_before_first(
     """
     bound = firsts.select(F.col(first_key).alias(key), F.col(first_ts).alias("_first"))
     early = F.col(ts) < F.col("_first")
-    return spread_join(purchases, bound, key, "left_anti", residual=early, count_left=count_on)
+    return even_join(purchases, bound, key, "left_anti", residual=early)
 
 
 def rejoin_totals(df: DataFrame, keys: Sequence[str], **totals: Column) -> DataFrame:
     """Join a group-by of the input back to its rows. Rows with a NULL key get NULL totals, as in an equi-join."""
     sums = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    return spread_join(df, sums, keys, "left")
+    return even_join(df, sums, keys, "left")

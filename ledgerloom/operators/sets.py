@@ -7,17 +7,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.operators.joins import spread_join
+from ledgerloom.operators.joins import as_list, even_join
 
 
 def semi(b: DataFrame, a: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of b whose key occurs in a."""
-    return spread_join(b, a, key, "left_semi")
+    return even_join(b, a.select(*as_list(key)).distinct(), key, "left_semi")
 
 
 def anti(b: DataFrame, a: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of b whose key does not occur in a; all of b when a is empty."""
-    return spread_join(b, a, key, "left_anti")
+    return even_join(b, a.select(*as_list(key)).distinct(), key, "left_anti")
 
 
 def union_new(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Per-group questions that SQL asks with window functions.
 
 A plain whole-partition window puts all rows of a key into one task. The group-wide sums here are aggregated first
-(partial aggregation on the map side) and joined back with heavy keys spread; only the one-row-per-key pick stays a
+(partial aggregation on the map side) and joined back with heavy keys split; only the one-row-per-key pick stays a
 window, because Spark cuts it to one row per key and task before the shuffle (WindowGroupLimit).
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import as_list, spread_join
+from ledgerloom.operators.joins import as_list, even_join
 
 
 def latest_per_key(
@@ -24,19 +24,15 @@ def latest_per_key(
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
-def any_in_group(
-    df: DataFrame, key: str, condition: Column, name: str, count_on: DataFrame | None = None
-) -> DataFrame:
+def any_in_group(df: DataFrame, key: str, condition: Column, name: str) -> DataFrame:
     """Add a flag: does any row of the key meet the condition? All rows without a key are one group."""
     marked = df.where(condition).select(key).distinct().withColumn(name, F.lit(True))
-    joined = spread_join(df, marked, key, "left", null_safe=True, count_left=count_on)
+    joined = even_join(df, marked, key, "left", null_safe=True)
     return joined.withColumn(name, F.coalesce(name, F.lit(False)))
 
 
-def net_equals(
-    df: DataFrame, key: str, negative: Column, value: int = 1, count_on: DataFrame | None = None
-) -> DataFrame:
+def net_equals(df: DataFrame, key: str, negative: Column, value: int = 1) -> DataFrame:
     """Keep the rows of groups whose +1/-1 sum is ``value``. All rows without a key are one group."""
     step = F.when(negative, -1).otherwise(1)
     chosen = df.groupBy(key).agg(F.sum(step).alias("_net")).where(F.col("_net") == value).select(key)
-    return spread_join(df, chosen, key, "left_semi", null_safe=True, count_left=count_on)
+    return even_join(df, chosen, key, "left_semi", null_safe=True)

@@ -71,7 +71,7 @@ def product_slugs(ctx: Context, payments: DataFrame) -> DataFrame:
     product = field_value(payments, "gateway_response", "$.productId")
     keyed = payments.withColumn("_product", F.replace(product, F.lit(str(ctx.var("product_prefix", ""))), F.lit("")))
     packages = ctx.source("conversion_package").select(F.col("id").cast("string").alias("_product"), "slug")
-    return spread_join(keyed, packages, "_product", "left").drop("_product", "gateway_response")
+    return keyed.join(packages, "_product", "left").drop("_product", "gateway_response")
 
 
 def topup_class(ctx: Context, user: Column, gateway: Column, quantity: Column, kind: Column | None = None) -> Column:
@@ -156,20 +156,18 @@ def star_purchase(ctx: Context) -> DataFrame:
     refunded = paid.where("charge_status = 'REFUNDED'").select(F.col("checkout_id").alias("checkout_key")).distinct()
     checkouts = checkouts.join(refunded.withColumn("refunded", F.lit(True)), "checkout_key", "left")
 
-    facts = spread_join(ledger, checkouts, "checkout_key", "left", spread_by=["billing_transaction_id"])
+    facts = ledger.join(checkouts, "checkout_key", "left")
     facts = facts.withColumn("checkout_key", F.when(F.col("checkout_id").isNotNull(), F.col("checkout_key")))
     facts = spread_join(
         facts,
         payments,
         "checkout_key",
         "left",
-        hot="both",
-        count_left=ledger,
+        hot="right",
         count_right=paid.select(F.col("checkout_id").alias("checkout_key"), mark),
         spread_right_by=["_payment"],
     )
-    facts = spread_join(facts, buyers, "buyer_username", "left", count_left=ledger)
-    facts = spread_join(facts, sellers, "seller_alias_text", "left", count_left=ledger)
+    facts = facts.join(buyers, "buyer_username", "left").join(sellers, "seller_alias_text", "left")
 
     top_up = F.col("type") == "top_up"
     final = facts.select(
@@ -224,9 +222,7 @@ def user_topup_transaction(ctx: Context) -> DataFrame:
         "top_up_quantity",
         json_scalar(F.col("lines"), "$[0].conversion_package_slug").alias("line_slug"),
     )
-    paid_keys = charged.select(F.col("checkout_id").alias("key"))
-    rows = spread_join(paid, details, "key", "inner", count_left=paid_keys)
-    rows = spread_join(rows, users, "user_id", "left", count_left=checkouts)
+    rows = paid.join(details, "key", "inner").join(users, "user_id", "left")
     quantity = F.col("top_up_quantity")
     return rows.select(
         F.col("account_id").alias("user_id"),
@@ -450,9 +446,9 @@ def latest_follow(ctx: Context) -> DataFrame:
     channels = ctx.source("channel").select(F.col("id").alias("channel_id"), "owner_id")
     users = ctx.source("user_account").select(F.col("id").alias("follower_id"), "auto_follow")
     # The user is looked up for the newest rows only.
-    owned = spread_join(follows, channels, "channel_id", "left")
+    owned = follows.join(channels, "channel_id", "left")
     newest = latest_per_key(owned, ["owner_id", "follower_id"], "created_at", "channel_id")
-    rows = spread_join(newest, users, "follower_id", "left", count_left=follows)
+    rows = newest.join(users, "follower_id", "left")
     return rows.select(
         F.to_date("created_at").alias("date_key"),
         "owner_id",
@@ -478,7 +474,11 @@ def daily_follower_following(ctx: Context) -> DataFrame:
     latest = ctx.ref("latest_follow")
     if not ctx.is_incremental("daily_follower_following"):
         return latest
-    return edge_diff(ctx.target("daily_follower_following").select(*latest.columns), latest, ctx.now())
+    # An ended follow changes only if the snapshot holds it again, and the snapshot starts with its window.
+    since = F.to_date(back(ctx.as_of, int(ctx.var("follow_window", 1)), "months"))
+    open_or_new = flag(F.col("following_status")) | (F.col("date_key") >= since)
+    target = ctx.target("daily_follower_following").select(*latest.columns).where(open_or_new)
+    return edge_diff(target, latest, ctx.now())
 
 
 @model("latest_transfer_permission", "inline/latest_transfer_permission")
@@ -528,9 +528,9 @@ def content_access(ctx: Context) -> DataFrame:
     ).withColumn("revenue_transaction_id", F.col("billing_transaction_id"))
     buyers = ctx.source("user_account").select(F.col("username").alias("user_id"), F.col("id").alias("buyer_id"))
     sold = orders.join(products, "product_id", "inner")
-    sold = spread_join(sold, creators, "billing_transaction_id", "left", count_left=orders)
+    sold = sold.join(creators, "billing_transaction_id", "left")
     rows = sold.join(spending.select("order_id", "id", "created_at", "user_id", "amount"), "order_id", "inner")
-    rows = spread_join(rows, buyers, "user_id", "left", count_left=spending)
+    rows = rows.join(buyers, "user_id", "left")
     out = rows.groupBy(
         F.to_date("created_at").alias("transaction_date"),
         F.col("created_at").alias("transaction_datetime"),

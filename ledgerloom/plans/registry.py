@@ -80,9 +80,12 @@ class Context:
             self._built[name] = MODELS[name].build(self)
         return self._built[name]
 
-    def keep(self, name: str, *columns: str) -> Context:
-        """Store a model that several others read, once for this run; only the named columns if any are given."""
-        result = self.ref(name)
+    def keep(self, name: str, *columns: str, where: str = "true") -> Context:
+        """Store a model that several others read, once for this run; only the named columns if any are given.
+
+        Only rows that meet ``where`` are stored: a filter set here reaches the scans below the stored copy.
+        """
+        result = self.ref(name).where(where)
         self._built[name] = stage(result.select(*columns) if columns else result, name)
         return self
 

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import heavy_keys, spread_join
+from ledgerloom.operators.joins import even_join, heavy_keys, spread_join
 from ledgerloom.operators.sets import anti, semi, sym_diff, union_new
 from ledgerloom.operators.windows import any_in_group, latest_per_key, net_equals
 
@@ -33,6 +33,41 @@ def test_spread_join_equals_plain_join(spark, rows, how, hot, null_safe, left, r
     assert rows(ours) == rows(plain)
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_even_join_equals_plain_join(spark, rows, how, null_safe):
+    a, b = frame(spark, [1, 1, None, 2, 5], "x"), frame(spark, [1, None, 3, 5], "y")
+    on = a.k.eqNullSafe(b.k) if null_safe else a.k == b.k
+    plain = a.join(b, on, how)
+    plain = plain.select(a.k, "x") if how.startswith("left_") else plain.select(a.k, "x", "y")
+    assert rows(even_join(a, b, "k", how, null_safe)) == rows(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi"])
+def test_adaptive_planner_splits_a_heavy_key_of_an_even_join(spark, how):
+    """A third of the rows on one key, a third without a key; the right side is an aggregate on the key."""
+    third = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))
+    df = spark.range(0, 60000, 1, 8).select(third.alias("k"), F.col("id").alias("x"))
+    totals = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    for name, value in tight.items():
+        spark.conf.set(name, value)
+    try:
+        joined = even_join(df, totals, "k", how, null_safe=how == "left_semi")
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in tight:
+            spark.conf.unset(name)
+    assert "skew=true" in plan
+
+
 def test_heavy_keys_are_few_and_counted(spark, rows):
     df = frame(spark, [1] * 10 + [2] * 3 + list(range(10, 20)), "x")
     assert rows(heavy_keys(df, ["k"], 2)) == [(1, 5), (2, 2)]
