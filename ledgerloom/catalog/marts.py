@@ -318,13 +318,20 @@ def content_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context(spark, sf_dir, ORDERS_AS_OF, access_days=2000).ref("content_access")
 
 
-def _push_sql() -> str:
-    from ledgerloom.plans.marts import PUSH_PROPERTIES
+# The pairs are written out here again, so that a fault in the model's list shows.
+PUSHED = (
+    ("os", "$os"), ("utm_campaign", "utm_campaign"), ("browser", "$browser"), ("country_name", "$geoip_country_name"),
+    ("ip", "$ip"), ("distinct_id_properties", "distinct_id"), ("browser_version", "$browser_version"), ("device", "$device"),
+    ("os_version", "$os_version"), ("raw_user_agent", "$raw_user_agent"), ("session_id", "$session_id"),
+    ("browser_language", "$browser_language"),
+)
+
 
+def _push_sql() -> str:
     picked = ", ".join(
         f"CASE WHEN json_type(properties, '$.\"{key}\"') = 'VARCHAR' "
         f"THEN json_extract_string(properties, '$.\"{key}\"') ELSE '' END AS {name}"
-        for name, key in PUSH_PROPERTIES.items()
+        for name, key in PUSHED
     )
     return f"""
 SELECT distinct_id, created_at, event, uuid, {picked}, "$session_id", "$window_id", "$session_id_uuid", person_mode

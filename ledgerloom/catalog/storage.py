@@ -13,7 +13,7 @@ from ledgerloom.catalog import query, table
 from ledgerloom.catalog.roles import ROLES, context
 from ledgerloom.functions.dates import refresh_windows
 from ledgerloom.operators.sets import union_all
-from ledgerloom.plans.registry import backfill, run, run_slice
+from ledgerloom.plans.registry import MODELS, Model, backfill, run, run_slice
 from ledgerloom.session import scratch_database, scratch_path
 from ledgerloom.sources import tables
 from ledgerloom.sources.readers import load_csv
@@ -253,6 +253,34 @@ def stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.ledger_transaction").select("consum_transaction_id", "user_id")
 
 
+@query("i14_i16_tagged_run", "SELECT o_orderkey, o_custkey FROM orders")
+def tagged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tag runs a table, which a hook before it has emptied of older rows and a hook after it compacts, and a view of it."""
+    ctx = context(spark, sf_dir, dt.date(2001, 8, 5), scratch_database(spark))
+    orders = _orders(spark, sf_dir)
+    copies, name = ctx.table("order_copies"), f"orders_of_{ctx.database}"
+    tables.write_partitioned(orders.withColumn("o_custkey", F.lit(-1).cast("long")), copies, "o_orderdate", "YEAR", "overwrite")
+    models = (
+        Model(
+            "order_copies", lambda c: orders.union(orders), tags=("hooked",), path="sliced/order_copies",
+            materialized="incremental", partition_by=("o_orderdate", "YEAR"),
+            pre=lambda c: tables.truncate(c.spark, copies),
+            post=lambda c: tables.compact_table(c.spark, copies, "o_orderkey", "o_orderdate", "o_custkey"),
+        ),
+        Model(
+            name, lambda c: c.target("order_copies").select("o_orderkey", "o_custkey"), after=("order_copies",),
+            tags=("hooked",), path=f"view/{name}", materialized="view",
+        ),
+    )
+    MODELS.update({m.name: m for m in models})
+    try:
+        run(ctx, "tag:hooked")
+    finally:
+        for m in models:
+            del MODELS[m.name]
+    return spark.table(name)
+
+
 @query("i04_i06_lazy_duplicates", "SELECT * FROM orders")
 def lazy_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows appended twice, read as if merged, then compacted in place."""

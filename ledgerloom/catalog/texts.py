@@ -137,6 +137,20 @@ def notification_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.notification_log(mail, senders, None, logged, dt.datetime(2024, 2, 1))
 
 
+@query(
+    "t05_newest_notifications",
+    f"""
+SELECT row_number() OVER (ORDER BY o_orderkey) AS row_number, CAST(o_orderkey AS VARCHAR) AS key_column,
+  TIMESTAMP '2024-02-01 00:00:00' AS write_time, 'Notice ' || o_orderkey AS subject, {SENDER} AS sender, {SENT} AS date_sent, {AMOUNT} AS amount
+FROM (SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 1000) WHERE o_orderpriority <> '5-LOW' AND o_orderstatus = 'F'
+""",
+)
+def newest_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first log is written from the newest thousand messages: that limit is the step itself."""
+    mail = messages.normalize_messages(_mail(spark, sf_dir))
+    return messages.notification_log(mail, ["alerts@citibank.com.vn"], 1000, None, dt.datetime(2024, 2, 1))
+
+
 @query(
     "t06_keyword_flag",
     "SELECT source, bool_or(regexp_matches(lower(text), '\\bnicht\\b|\\bwas\\b')) AS has_words FROM documents GROUP BY source",

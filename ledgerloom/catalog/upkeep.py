@@ -220,6 +220,21 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.finish_states(inc.merge_states(daily, "o_custkey"))
 
 
+@query(
+    "i21_distinct_states",
+    "SELECT year(o_orderdate) AS year, count(o_orderkey) AS n, count(DISTINCT o_custkey) AS buyers, true AS close FROM orders GROUP BY ALL",
+)
+def distinct_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sketches merged to years; the estimates lie within a tenth of the exact counts beside them."""
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    daily = orders.withColumn("day", F.to_date("o_orderdate"))
+    yearly = inc.merge_states(inc.agg_state(daily, ["year", "day"], "o_orderkey", distinct="o_custkey"), "year")
+    exact = orders.groupBy("year").agg(F.countDistinct("o_custkey").alias("buyers"))
+    close = F.abs(F.col("distinct_estimate") - F.col("buyers")) <= F.col("buyers") * 0.1
+    both = inc.finish_states(yearly).join(exact, "year")
+    return both.select(F.col("year").cast("long").alias("year"), "n", "buyers", close.alias("close"))
+
+
 SIGNED = """
 WITH s AS (SELECT o_orderkey, version, o_totalprice, 1 AS sign FROM v
   UNION ALL SELECT o_orderkey, version, o_totalprice, -1 FROM v WHERE version < 3 AND o_totalprice < 600000)

@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accented letters that lose their accent. The last block is the Unicode range of Vietnamese letters.
-ACCENTED = "ÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯư" + "".join(map(chr, range(0x1EA0, 0x1EFA)))
-PLAIN = "".join({"Đ": "D", "đ": "d"}.get(c) or unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
+# The accented letters and, in the same order, the letters without their accents.
+ACCENTED = (
+    "ÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯưẠạẢảẤấẦầẨẩẪẫẬậẮắẰằẲẳẴẵẶặẸẹẺẻẼẽẾếỀềỂểỄễỆệỈỉỊịỌọ"
+    "ỎỏỐốỒồỔổỖỗỘộỚớỜờỞởỠỡỢợỤụỦủỨứỪừỬửỮữỰựỲỳỴỵỶỷỸỹ"
+)
+PLAIN = (
+    "AAAAEEEIIOOOOUUYaaaaeeeiioooouuyAaDdIiUuOoUuAaAaAaAaAaAaAaAaAaAaAaAaEeEeEeEeEeEeEeEeIiIiOo"
+    "OoOoOoOoOoOoOoOoOoOoOoUuUuUuUuUuUuUuYyYyYyYy"
+)
 
 # Fixed value: what counts as an e-mail address (``(?U)``: word boundaries know accented letters).
 EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 
 # The URL shapes that carry a document or folder id, tried in this order.
-DOCUMENT_PATHS = (
+DOCUMENT_SHAPES = (
     "/spreadsheets/d/",
     "/document/d/",
     "/presentation/d/",
@@ -25,13 +30,11 @@ DOCUMENT_PATHS = (
     "/forms/d/",
     "/drawings/d/",
     "/drive/folders/",
-)
-DOCUMENT_PATTERNS = (
     "/drive/u/[0-9]+/folders/([^/?]+)",
+    "/drive/shared-drives/",
     "/drive/u/[0-9]+/shared-drives/([^/?]+)",
     r"script\.google\.com/[a-z/]+/([^/?]+)",
 )
-SHARED_DRIVES = "/drive/shared-drives/"
 
 
 def contains_words(col: Column, words: Sequence[str]) -> Column:
@@ -97,14 +100,7 @@ def document_id(url: Column) -> Column:
         by_slash = F.substring_index(rest, "/", 1)
         return F.when(F.contains(rest, F.lit("/")), by_slash).otherwise(F.substring_index(rest, "?", 1))
 
-    folders, shared, script = DOCUMENT_PATTERNS
-    return F.coalesce(
-        *[after(path) for path in DOCUMENT_PATHS],
-        _found(url, folders),
-        after(SHARED_DRIVES),
-        _found(url, shared),
-        _found(url, script),
-    )
+    return F.coalesce(*[_found(url, shape) if "(" in shape else after(shape) for shape in DOCUMENT_SHAPES])
 
 
 def sheet_url(sheet: Column) -> Column:

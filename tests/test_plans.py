@@ -184,6 +184,33 @@ def test_bucketed_tables_join_without_a_shuffle(spark, database):
     assert "Exchange" not in plan
 
 
+def test_master_data_join_can_be_split(spark):
+    """Both sides of the join on user and month come straight out of its own shuffle, so that a heavy user is split."""
+    ctx = context(spark, FOLDER, dt.date(2001, 9, 30))
+    ctx.keep("star_purchase", where="type = 'transfer_inbound'").keep("monthly_pay_user").keep("monthly_segmentation")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ctx.ref("pay_user_master_data")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin [user_id" in line and "coalesce" in line)
+    depth = lines[join].index("SortMergeJoin")
+    sides = [i for i, line in enumerate(lines) if line.find("Sort [") == depth + 3 and i > join]
+    assert len(sides) >= 2 and all("Exchange hashpartitioning" in lines[i + 1] for i in sides[:2])
+
+
+def test_a_kept_model_is_filtered_below_its_joins(spark):
+    ctx = context(spark, FOLDER, dt.date(2001, 9, 30))
+    everything = ctx.ref("star_purchase")
+    lines = everything.where("type = 'transfer_inbound'")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    first_join = next(i for i, line in enumerate(lines) if "Join " in line)
+    assert any("Filter" in line and "transfer_inbound" in line for line in lines[first_join:])
+    kinds = {r.type for r in everything.select("type").distinct().collect()}
+    ctx.keep("star_purchase", "type", where="type = 'transfer_inbound'")
+    assert len(kinds) == 2 and {r.type for r in ctx.ref("star_purchase").distinct().collect()} == {"transfer_inbound"}
+
+
 @pytest.mark.parametrize("name", ["star_purchase", "user_topup_transaction", "content_access", "latest_follow", "daily_transaction"])
 def test_marts_have_no_nested_loops(spark, name):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
