@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.rows import distinct_name
 from ledgerloom.session import stage
 
 VERSION = "WARC/1.1"
