@@ -2,7 +2,8 @@
 
 Equal strings of ``LENGTH`` bytes have the same least hash of a shorter string in them, so the windows of a text are cut
 into segments of equal least hash, and segments meet by it. A hash that occurs once cannot hold a repeat, and equal
-segments are repeats as a whole; only different segments of one hash go to the suffix sorter of their shard.
+segments are repeats as a whole; only different segments of one hash go to the suffix sorter of their shard. Where these
+would exceed a shard, their windows meet by themselves instead.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +28,8 @@ WINDOW = LENGTH - GRAM + 1  # hashes in a window
 BUFFER = 1 << 18  # bytes that are hashed together
 FILTER_BITS = 25  # the filter of repeated hashes has 2**FILTER_BITS bits, 4 MB, sent to every task
 PROBES = (0, 19, 38)  # a hash fills the bits that its digits from these on name
-SHARD = 1 << 24  # bytes from which on the segments gathered in a task are sorted; one hash may go beyond it
+SHARD = 1 << 24  # bytes from which on the segments gathered in a task are sorted; a hash with more of its own is dealt by window
+WINDOWS = 1 << 16  # windows that are dealt out together
 LAST = (1 << 63) - 1  # takes the place of a null id
 
 RATIO = 0x9E3779B97F4A7C15 | 1
@@ -247,13 +250,48 @@ def shard_repeats(rows: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("hash", "segment", "doc", "start").mapInArrow(run, "doc long, key long, start long, size long")
 
 
+def crowded(rows: DataFrame) -> DataFrame:
+    """``hash`` of more than SHARD bytes in different segments; fewer than there are shards in all segments."""
+    own, size = rows.filter("hash IS NOT NULL"), F.sum(F.col("size") + 1)
+    large = own.groupBy("hash").agg(size.alias("bytes")).filter(F.col("bytes") > SHARD).select("hash")
+    told = own.join(F.broadcast(large), "hash").groupBy("hash", F.xxhash64("segment").alias("segment")).agg(F.first("size").alias("size"))
+    return stage(told.groupBy("hash").agg(size.alias("bytes")).filter(F.col("bytes") > SHARD).select("hash"), "crowded")
+
+
+def window_repeats(rows: DataFrame) -> DataFrame:
+    """``doc, key, start, size`` of the windows that occur earlier in the rows' segments, by 128-bit hashes of the windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(made: list[tuple[bytes, int, int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*made)) or [[]] * 4, (pa.binary(), *[pa.int64()] * 3))], names=["window", "doc", "key", "start"])
+
+        for batch in batches:
+            made = []
+            for doc, key, start, segment in zip(*(c.to_pylist() for c in batch.columns)):
+                made += [(xxhash.xxh3_128_digest(segment[p : p + LENGTH]), doc, key, start + p) for p in range(len(segment) - LENGTH + 1)]
+                if len(made) >= WINDOWS:
+                    yield out(made)
+                    made = []
+            yield out(made)
+
+    windows = stage(rows.select("doc", "key", "start", "segment").mapInArrow(run, "window binary, doc long, key long, start long"), "windows")
+    place = F.struct("doc", "start")
+    least = windows.groupBy("window").agg(F.min(place).alias("least"), F.max(place).alias("last")).filter("least < last")
+    found = windows.join(stage(least.select("window", "least"), "least"), "window").filter(place > F.col("least"))
+    return found.select("doc", "key", "start", F.lit(LENGTH).cast("long").alias("size"))
+
+
 def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc, key, start, size``: byte ranges to remove, which may overlap; ``key`` is that of ``named``."""
     texts = named(docs, doc_id, text)
     repeated = filter_of(stage(repeated_hashes(texts), "hashes"))
     rows = stage(segments(texts, repeated), "segments")
     whole = rows.filter("hash IS NULL").select("doc", "key", "start", "size")
-    return whole.union(shard_repeats(rows))
+    many = crowded(rows)
+    if many.isEmpty():
+        return whole.union(shard_repeats(rows))
+    rest = rows.join(F.broadcast(many), "hash", "left_anti")
+    return whole.union(shard_repeats(rest)).union(window_repeats(rows.join(F.broadcast(many), "hash")))
 
 
 def document_key(doc_id: str, text: str) -> Column:

@@ -336,3 +336,23 @@ def test_repeated_strings_are_removed(spark, documents):
     key = lambda r: repr(r)
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=key) == sorted(((d, *x) for (d, _), x in zip(rows, plain_removed(rows))), key=key)
     assert suffix_dedup.removed(documents.limit(0)).count() == 0
+
+
+def test_segments_of_one_hash_never_exceed_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD", 3000)
+    rng, sorted_, largest = random.Random(11), suffix_dedup.shard_repeats, []
+
+    def watched(rows):
+        per = rows.where("hash IS NOT NULL").select("hash", "segment").distinct().groupBy("hash").agg(F.sum(F.length("segment")).alias("n"))
+        largest.append(per.agg(F.max("n")).first()[0])
+        return sorted_(rows)
+
+    monkeypatch.setattr(suffix_dedup, "shard_repeats", watched)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    line, passage = some(80), some(300)
+    rows = [(i, some(rng.randrange(150, 200)) + rng.choice([line, passage]) + some(rng.randrange(150, 200))) for i in range(90)]
+    rows += [(100, rows[3][1]), (101, rows[4][1]), (4, rows[5][1]), (102, "a" * 9000), (103, "ba" * 3000), (None, passage)]
+    got = suffix_dedup.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert largest[0] is None or largest[0] <= 3000
+    key = lambda r: repr(r)
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=key) == sorted(((d, *x) for (d, _), x in zip(rows, plain_removed(rows))), key=key)
