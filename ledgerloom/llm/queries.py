@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import query, table
-from ledgerloom.llm import decontamination, embeddings, mixing, quality, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
+from ledgerloom.llm import decontamination, embeddings, mixing, quality, secrets, simhash, suffix_dedup, tokens, toxicity, url_filter, warc
 from ledgerloom.session import scratch_path
 
 
@@ -156,3 +156,12 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup.removed(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = tokens.with_counts(docs.select("*", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", tokens.over(F.col("n_tokens")).alias("over_limit"))
