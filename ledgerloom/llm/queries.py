@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import query, table
-from ledgerloom.llm import decontamination, embeddings, mixing, quality, secrets, simhash, suffix_dedup, tokens, toxicity, url_filter, warc
+from ledgerloom.llm import decontamination, embeddings, manifest, mixing, quality, search, secrets, simhash, suffix_dedup, tokens, toxicity, url_filter, warc
 from ledgerloom.session import scratch_path
 
 
@@ -158,6 +158,84 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _sql_fields(n_chars: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _sql_levels(name: str, start: str) -> str:
+    """SQL for the levels of trees: ``tree, level, nodes``, from the lists of ``start``."""
+    return f"""{name} AS (
+        SELECT tree, 0 AS level, nodes FROM ({start})
+        UNION ALL
+        SELECT tree, level + 1, list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+        FROM {name} WHERE len(nodes) > 1)"""
+
+
+def _sql_steps(levels: str, tree: str, pos: str) -> str:
+    """SQL for the siblings on the way up: each with its side in front, or ``-`` for a node alone."""
+    other = f"nodes[({pos} >> level) + 2 - 2 * (({pos} >> level) % 2)]"
+    return f"""(SELECT list(CASE WHEN {other} IS NULL THEN '-' ELSE CASE WHEN ({pos} >> level) % 2 = 1 THEN 'L' ELSE 'R' END || {other} END ORDER BY level)
+        FROM {levels} l WHERE l.tree = {tree} AND len(nodes) > 1)"""
+
+
+@query(
+    "op11_merkle_manifest",
+    oracle=f"""
+    WITH RECURSIVE own AS (
+        SELECT row_number() OVER () AS rid, doc_id, coalesce('s' || lang, 'n') AS tree, doc_id::VARCHAR AS digits, {_sql_fields("n_chars")} AS leaf, {_sql_fields("(n_chars + 1)")} AS other FROM documents),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos FROM own),
+    {_sql_levels("low", "SELECT tree, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY tree")},
+    subroots AS (SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS place FROM low WHERE len(nodes) = 1),
+    {_sql_levels("high", "SELECT '' AS tree, list(subroot ORDER BY place) AS nodes FROM subroots HAVING count(*) > 0")},
+    crc AS (SELECT rid, digits IS NOT NULL AND xor(list_reduce(list_prepend(4294967295::BIGINT, range(8 * length(digits))),
+        lambda c, i: CASE WHEN xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(digits, i // 8 + 1, 1)) ELSE 0 END::BIGINT) % 2 = 1
+            THEN xor(xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(digits, i // 8 + 1, 1)) ELSE 0 END::BIGINT) >> 1, 3988292384::BIGINT)
+            ELSE xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(digits, i // 8 + 1, 1)) ELSE 0 END::BIGINT) >> 1 END), 4294967295::BIGINT) % 7 = 0 AS tampered FROM own),
+    walked AS (SELECT p.doc_id, p.leaf, s.subroot, CASE WHEN c.tampered THEN p.other ELSE p.leaf END AS start,
+        list_concat(coalesce({_sql_steps("low", "p.tree", "p.pos")}, []), coalesce({_sql_steps("high", "''", "s.place")}, [])) AS steps
+        FROM placed p JOIN subroots s USING (tree) JOIN crc c USING (rid)),
+    done AS (SELECT *, (SELECT nodes[1] FROM high WHERE len(nodes) = 1) AS root,
+        list_reduce(list_prepend(start, steps), lambda h, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || h WHEN 'R' THEN h || s[2:] ELSE h END)) AS folded_root FROM walked)
+    SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM done""",
+)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = [F.col(c) if c != "n_chars" else F.col(c).cast("decimal(20,0)") + 1 for c in manifest.COLUMNS]
+    made = manifest.build(docs, other=F.when(tampered, F.unhex(manifest.leaf(changed))))
+    root = F.lit(made.root).cast("binary")
+    hexed = lambda c: F.lower(F.hex(c))
+    found = manifest.proofs(made).select(F.col("id").alias("doc_id"), "digest", "other", "siblings", "sides", "subroot")
+    found = found.withColumn("folded_root", manifest.folded(hexed(F.coalesce("other", "digest")), F.col("siblings"), F.col("sides")))
+    proof = F.sha2(hexed("siblings"), 256).alias("proof_sha256")
+    return found.select("doc_id", hexed("digest").alias("leaf"), hexed("subroot").alias("subroot"), hexed(root).alias("root"), proof, "folded_root", (F.col("folded_root") == hexed(root)).alias("verified"))
+
+
+_TERMS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_ranked_search",
+    oracle=f"""
+    WITH own AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS.format("text")} AS terms FROM documents),
+    whole AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS words FROM own WHERE len(terms) > 0),
+    tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM own) GROUP BY ALL),
+    wanted AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS.format("text")}) AS term FROM benchmark) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+        FROM tf, whole GROUP BY term, docs),
+    lengths AS (SELECT rid, doc_id, 75 + (25 * len(terms) * docs) // words AS m FROM own, whole WHERE len(terms) > 0),
+    scores AS (SELECT item_id, rid, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+        FROM wanted JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (rid) GROUP BY ALL)
+    SELECT item_id, rank, doc_id, score FROM (
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank, doc_id, score FROM scores WHERE score > 0)
+    WHERE rank <= 20""",
+)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 @query("op13_token_counts")
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
