@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import table
-from ledgerloom.llm import decontamination, mixing, quality, secrets, shingles
+from ledgerloom.llm import decontamination, mixing, quality, secrets, simhash
 from ledgerloom.llm.rows import ROW, boxed, field, unboxed
 from ledgerloom.session import stage
 
@@ -24,8 +24,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (four fifths of the five-word shingles), the one with the smallest id."""
-    return unboxed(shingles.one_of_each(boxed(docs), ID, TEXT), docs)
+    """One document of each group of near copies by SimHash, with the operator's own shingles and distance, the one with the smallest id."""
+    return unboxed(simhash.one_of_each(boxed(docs), ID, TEXT), docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
