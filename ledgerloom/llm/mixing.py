@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.rows import WORD, distinct_name
+from ledgerloom.llm.rows import WORD, boxed, distinct_name, field
 from ledgerloom.session import stage
 
 WEIGHTS = (5, 2, 1)  # of the sources by code point, repeating, null last
@@ -98,11 +98,11 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 
     Rows that agree in every column stand for each other, so their copies are added up.
     """
-    key, copy = distinct_name(docs, "_key"), distinct_name(docs, "copy")
-    own = F.concat_ws(":", F.xxhash64(*docs.columns), F.xxhash64(F.lit(1), *docs.columns))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own = F.concat_ws(":", F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))
     counted = mix(docs, key=own, **options).filter("copies > 0")
-    counted = stage(counted.groupBy("key").agg(F.sum("copies").alias("copies"), F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target")), "copies")
-    kept = [distinct_name(docs, c) for c in ("size", "source_size", "target")]
-    taken = counted.toDF(key, "_copies", *kept)
-    found = docs.withColumn(key, own).dropDuplicates([key]).join(taken, key)
-    return found.select(*docs.columns, *kept, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias(copy))
+    facts = ("size", "source_size", "target")
+    counted = stage(counted.groupBy("key").agg(F.sum("copies").alias("copies"), *[F.first(c).alias(c) for c in facts]), "copies")
+    found = boxed(docs, own=own).dropDuplicates(["own"]).join(counted, F.col("own") == F.col("key"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(distinct_name(docs, "copy"))
+    return found.select(*[F.col(field(c)).alias(c) for c in docs.columns], *[F.col(c).alias(distinct_name(docs, c)) for c in facts], copies)

@@ -78,13 +78,13 @@ _ASSIGN = r"(?:(?i:password|passwd|secret|token|api_?key))[\x22\x27]?\x20*[:=]\x
     base AS ({_sql_matches(0, _ASSIGN, 1, 6)} UNION ALL {_sql_matches(1, "AKIA[A-Z0-9]{16,}")} UNION ALL {_sql_matches(2, "[0-9a-f]{24,}")}),
     strings AS ({_sql_matches(3, "[A-Za-z0-9+/_=-]{20,}")}),
     free AS (SELECT * FROM strings c WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.start < c.stop AND c.start < b.stop)
-        AND NOT regexp_matches(value, '^[A-Za-z=_+/-]+$') AND NOT regexp_matches(value, '^[0-9=_+/-]+$')
+        AND NOT regexp_matches(value, '^[A-Z]?[a-z=_+/-]+$|^[A-Z=_+/-]+$|^[0-9=_+/-]+$')
         AND NOT regexp_matches(value, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$')
         AND NOT regexp_matches(value, '(?i)example|sample|dummy|placeholder|changeme|xxxx')
         AND NOT regexp_matches(value, '^(/?[a-z0-9_-]+)+/[a-z0-9_-]*$')),
     hot AS (SELECT rid, kind, start, stop, value FROM free
         WHERE list_max(list_transform(range(length(value) - 19), lambda i: list_entropy(string_split(substr(value, i + 1, 20), '')))) >=
-            CASE WHEN regexp_matches(value, '^[0-9]+$') THEN 9 WHEN regexp_matches(value, '^[0-9a-fA-F]+$') THEN 3.05
+            CASE WHEN regexp_matches(value, '^[A-Za-z=_+/-]+$') THEN 4.05 WHEN regexp_matches(value, '^[0-9a-fA-F]+$') THEN 3.05
                  WHEN regexp_matches(value, '^[A-Za-z0-9]+$') THEN 3.75 WHEN regexp_matches(value, '^[A-Za-z0-9_=-]+$') THEN 3.85 ELSE 3.95 END),
     spans AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || start || ':' || stop AS said FROM (FROM base UNION ALL FROM hot)),
     listed AS (SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,

@@ -89,9 +89,12 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int, seed: int, doc_id: s
 ROW = "_row"
 
 
-def boxed(docs: DataFrame) -> DataFrame:
-    """All columns as fields of one, so that no operator's column can clash with them; ``field`` names one of them."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+def boxed(docs: DataFrame, **more: Column) -> DataFrame:
+    """All columns as fields of one, so that no operator's column can clash with them; ``field`` names one of them.
+
+    ``more`` are columns beside it, from the columns of ``docs``.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), *[v.alias(n) for n, v in more.items()])
 
 
 def field(name: str) -> str:

@@ -15,19 +15,20 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import induced
-from ledgerloom.llm.rows import distinct_name, mixed
+from ledgerloom.llm.rows import boxed, distinct_name, field, mixed
 from ledgerloom.session import stage
 
 LENGTH = 100  # bytes
 GRAM = 32  # bytes that are hashed
 WINDOW = LENGTH - GRAM + 1  # hashes in a window
 BUFFER = 1 << 18  # bytes that are hashed together
-FILTER_BITS = 25  # the filter of repeated hashes has 2**FILTER_BITS bits, 4 MB, sent to every task
-PROBES = (0, 19, 38)  # a hash fills the bits that its digits from these on name
+LEAST_BITS, MOST_BITS = 20, 27  # the filter of repeated hashes has 2**LEAST_BITS to 2**MOST_BITS bits (16 MB), sent to every task
+BITS_EACH = 12  # bits of the filter for a repeated hash, up to MOST_BITS; beyond that a join follows the filter
+PROBES = (0, 18, 36)  # a hash fills the bits that its digits from these on name
 SHARD = 1 << 24  # bytes from which on the segments gathered in a task are sorted; a hash with more of its own is dealt by window
 WINDOWS = 1 << 16  # windows that are dealt out together
 LAST = (1 << 63) - 1  # takes the place of a null id
@@ -107,12 +108,17 @@ def repeated_hashes(texts: DataFrame) -> DataFrame:
     return texts.select("body").mapInArrow(run, "hash long, n byte").groupBy("hash").agg(F.sum("n").alias("n")).filter("n >= 2").select("hash")
 
 
-def filter_of(hashes: DataFrame) -> Broadcast:
-    """The filter's bits, as bytes: 2**FILTER_BITS at most, whatever the number of hashes."""
-    probes = F.array(*[F.shiftrightunsigned("hash", p).bitwiseAND((1 << FILTER_BITS) - 1).cast("int") for p in PROBES])
+def filter_bits(n: int) -> int:
+    """The power of two that the filter's bits for so many hashes have; without MOST_BITS that of more."""
+    return max(LEAST_BITS, (BITS_EACH * n - 1).bit_length())
+
+
+def filter_of(hashes: DataFrame, power: int) -> Broadcast:
+    """The filter's bits, in numbers of 64: 2**power of them, whatever the number of hashes."""
+    probes = F.array(*[F.shiftrightunsigned("hash", p).bitwiseAND((1 << power) - 1).cast("int") for p in PROBES])
     spread = hashes.select(F.explode(probes).alias("probe"))
     filled = spread.groupBy(F.shiftright("probe", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, probe & 63)")).alias("bits")).toArrow()
-    bits = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    bits = np.zeros(1 << power - 6, np.uint64)
     bits[filled["word"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64)
     return hashes.sparkSession.sparkContext.broadcast(bits)
 
@@ -120,7 +126,7 @@ def filter_of(hashes: DataFrame) -> Broadcast:
 def passes(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
     out = np.ones(len(value), bool)
     for p in PROBES:
-        probe = (value >> np.uint64(p)) & np.uint64((1 << FILTER_BITS) - 1)
+        probe = (value >> np.uint64(p)) & np.uint64(64 * len(bits) - 1)
         out &= (bits[(probe >> np.uint64(6)).astype(np.int64)] >> (probe & np.uint64(63))) & np.uint64(1) > 0
     return out
 
@@ -152,24 +158,24 @@ def segments(texts: DataFrame, repeated: Broadcast) -> DataFrame:
                 else:
                     rows.append((value, docs[i], keys[i], start, size, twice, part))
             columns = list(zip(*rows)) or [[]] * 7
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["hash", "doc", "key", "start", "size", "twice", "segment"])
 
-    return texts.select("doc", "key", "body").mapInArrow(run, "hash long, doc long, key long, start long, size long, twice boolean, segment binary")
+    return texts.select("doc", "key", "body").mapInArrow(run, "hash long, doc long, key binary, start long, size long, twice boolean, segment binary")
 
 
 class Shard:
     """Different segments, gathered until they are sorted together."""
 
     def __init__(self) -> None:
-        self.held: list[tuple[bytes, int, int, list[int]]] = []
+        self.held: list[tuple[bytes, int, int, list[bytes]]] = []
         self.size = 0
 
-    def add(self, segment: bytes, doc: int, start: int, keys: list[int]) -> None:
+    def add(self, segment: bytes, doc: int, start: int, keys: list[bytes]) -> None:
         self.held.append((segment, doc, start, keys))
         self.size += len(segment) + 1
 
-    def repeats(self) -> Iterator[tuple[int, int, int, int]]:
+    def repeats(self) -> Iterator[tuple[int, bytes, int, int]]:
         """``doc, key, start, size`` of strings of windows each of which also occurs earlier in the shard."""
         held, self.held, self.size = self.held, [], 0
         sizes = np.array([len(s) for s, _, _, _ in held])
@@ -220,8 +226,9 @@ def shard_repeats(rows: DataFrame) -> DataFrame:
                 for one in group:
                     shard.add(*one)
 
-        def out(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*found)) or [[]] * 4], names=["doc", "key", "start", "size"])
+        def out(found: list[tuple[int, bytes, int, int]]) -> pa.RecordBatch:
+            types = pa.int64(), pa.binary(), pa.int64(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*found)) or [[]] * 4, types)], names=["doc", "key", "start", "size"])
 
         for batch in batches:
             found = []
@@ -247,7 +254,7 @@ def shard_repeats(rows: DataFrame) -> DataFrame:
 
     columns = ["hash", "doc", "key", "start", "twice", "segment"]
     dealt = rows.filter("hash IS NOT NULL").select(*columns).repartition(F.col("hash"))
-    return dealt.sortWithinPartitions("hash", "segment", "doc", "start").mapInArrow(run, "doc long, key long, start long, size long")
+    return dealt.sortWithinPartitions("hash", "segment", "doc", "start").mapInArrow(run, "doc long, key binary, start long, size long")
 
 
 def crowded(rows: DataFrame) -> DataFrame:
@@ -259,11 +266,20 @@ def crowded(rows: DataFrame) -> DataFrame:
 
 
 def window_repeats(rows: DataFrame) -> DataFrame:
-    """``doc, key, start, size`` of the windows that occur earlier in the rows' segments, by 128-bit hashes of the windows."""
+    """``doc, key, start, size`` of strings of windows that occur earlier in the rows' segments.
+
+    Of equal segments (by 128-bit hashes) all but the earliest are repeats as a whole and drop out first. The windows of
+    the others meet by 128-bit hashes, and windows of a document that follow each other are put together again.
+    """
+    place = F.struct("doc", "start")
+    own = stage(rows.select("doc", "key", "start", "size", "segment", F.md5("segment").alias("name")), "crowd")
+    firsts = stage(own.groupBy("name").agg(F.min(place).alias("first")), "firsts").withColumnRenamed("name", "of")
+    told = stage(own.join(firsts, F.col("name") == F.col("of")).select("doc", "key", "start", "size", "segment", (place > F.col("first")).alias("later")), "told")
+    rows, whole = told.filter("NOT later"), told.filter("later").select("doc", "key", "start", "size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(made: list[tuple[bytes, int, int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*made)) or [[]] * 4, (pa.binary(), *[pa.int64()] * 3))], names=["window", "doc", "key", "start"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*made)) or [[]] * 4, (pa.binary(), pa.int64(), pa.binary(), pa.int64()))], names=["window", "doc", "key", "start"])
 
         for batch in batches:
             made = []
@@ -274,18 +290,26 @@ def window_repeats(rows: DataFrame) -> DataFrame:
                     made = []
             yield out(made)
 
-    windows = stage(rows.select("doc", "key", "start", "segment").mapInArrow(run, "window binary, doc long, key long, start long"), "windows")
-    place = F.struct("doc", "start")
+    windows = stage(rows.select("doc", "key", "start", "segment").mapInArrow(run, "window binary, doc long, key binary, start long"), "windows")
     least = windows.groupBy("window").agg(F.min(place).alias("least"), F.max(place).alias("last")).filter("least < last")
     found = windows.join(stage(least.select("window", "least"), "least"), "window").filter(place > F.col("least"))
-    return found.select("doc", "key", "start", F.lit(LENGTH).cast("long").alias("size"))
+    # starts that follow each other have one difference to their rank, in stretches that bound what meets in a task
+    found = found.select("doc", "key", "start", F.floor(F.col("start") / WINDOWS).alias("stretch")).distinct()
+    rank = F.row_number().over(Window.partitionBy("doc", "key", "stretch").orderBy("start"))
+    runs = found.withColumn("run", F.col("start") - rank).groupBy("doc", "key", "stretch", "run").agg(F.min("start").alias("start"), F.count(F.lit(1)).alias("n"))
+    return whole.unionByName(runs.select("doc", "key", "start", (F.col("n") + (LENGTH - 1)).alias("size")))
 
 
 def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc, key, start, size``: byte ranges to remove, which may overlap; ``key`` is that of ``named``."""
     texts = named(docs, doc_id, text)
-    repeated = filter_of(stage(repeated_hashes(texts), "hashes"))
-    rows = stage(segments(texts, repeated), "segments")
+    hashes = stage(repeated_hashes(texts), "hashes")
+    power = filter_bits(hashes.count())
+    rows = segments(texts, filter_of(hashes, min(power, MOST_BITS)))
+    if power > MOST_BITS:
+        # too many hashes for the filter to keep most others out: what passes is joined to them, null hashes stay
+        rows = rows.filter("hash IS NULL").union(rows.filter("hash IS NOT NULL").join(hashes, "hash", "left_semi"))
+    rows = stage(rows, "segments")
     whole = rows.filter("hash IS NULL").select("doc", "key", "start", "size")
     many = crowded(rows)
     if many.isEmpty():
@@ -295,7 +319,8 @@ def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def document_key(doc_id: str, text: str) -> Column:
-    return F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit("")))
+    """128 bits of a row's id and text; a null text is empty."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.coalesce(F.col(text), F.lit("")))))
 
 
 def named(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -324,13 +349,12 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """
     new = ("kept", "n_bytes", "n_removed", "n_spans")
     docs = docs.drop(*new)
-    key = distinct_name(docs, "_key")
     found = stage(spans(docs, doc_id, text), "spans")
-    listed = stage(found.groupBy("key").agg(F.collect_set(F.struct("start", "size")).alias("_spans")), "listed").withColumnRenamed("key", "_own")
-    joined = docs.withColumn(key, document_key(doc_id, text)).join(listed, F.col(key) == F.col("_own"), "left")
+    listed = stage(found.groupBy("key").agg(F.collect_set(F.struct("start", "size")).alias("found")), "listed")
+    joined = boxed(docs, own=document_key(doc_id, text)).join(listed, F.col("own") == F.col("key"), "left")
     columns = [c for c in docs.columns if c != text]
-    sent = joined.select(*columns, F.col(text), "_spans")
-    schema = docs.select(*columns, text).schema
+    sent = joined.select(*[F.col(field(c)).alias(c) for c in (*columns, text)], F.col("found").alias(distinct_name(docs, "_found")))
+    schema = docs.select(*[F.col(f"`{c}`") for c in (*columns, text)]).schema
     for name, kind in zip(new, ("binary", "long", "long", "long")):
         schema = schema.add(name, kind)
     names = [f.name for f in schema.fields]

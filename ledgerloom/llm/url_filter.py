@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.rows import boxed, field
 from ledgerloom.session import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,8 +113,8 @@ def judge(pages: DataFrame, rule_table: DataFrame, url: str = "url", default: st
     Without a fitting rule the verdict is ``default`` and the rule null; null and malformed URLs have an empty host
     and path. Repeated rows stay.
     """
-    found = stage(decisions(pages.select(F.col(url).alias("url")), rule_table), "decisions").toDF("_url", "_priority", "_rule", "_pattern", "_verdict")
+    found = stage(decisions(pages.select(F.col(url).alias("url")), rule_table), "decisions").select(F.col("url").alias("of"), "priority", "rule", "verdict")
     host, path, _ = address(F.col(url))
-    joined = pages.withColumns({"_host": host, "_path": path}).join(found, F.col(url) == F.col("_url"), "left")
-    new = {"host": F.col("_host"), "path": F.col("_path"), "priority": F.col("_priority"), "rule": F.col("_rule"), "verdict": F.coalesce("_verdict", F.lit(default))}
-    return joined.select(*[c for c in pages.columns if c.lower() not in new], *[c.alias(n) for n, c in new.items()])
+    joined = boxed(pages, url=F.col(url), host=host, path=path).join(found, F.col("url") == F.col("of"), "left")
+    new = {"host": F.col("host"), "path": F.col("path"), "priority": F.col("priority"), "rule": F.col("rule"), "verdict": F.coalesce("verdict", F.lit(default))}
+    return joined.select(*[F.col(field(c)).alias(c) for c in pages.columns if c.lower() not in new], *[c.alias(n) for n, c in new.items()])

@@ -110,6 +110,10 @@ def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url
     lines.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
 
 
+class BrokenArchive(ValueError):
+    """An archive that cannot be read to its end."""
+
+
 def inflated(content: bytes) -> Iterator[bytes]:
     """Pieces of an archive's plain bytes; it may be plain, one gzip member, or a member per record."""
     if content[:2] != b"\x1f\x8b":
@@ -122,10 +126,16 @@ def inflated(content: bytes) -> Iterator[bytes]:
             given = view[at : at + (1 << 18)]
             yield reader.decompress(given)
             at += len(given) - len(reader.unused_data)
+        if not reader.eof:
+            raise BrokenArchive("a gzip member is cut short")
 
 
 def parsed(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record. What is no record ends the archive."""
+    """Header fields (names in lower case) and block of each record.
+
+    A header may be as long as the archive. What is no record, or is cut short, raises BrokenArchive, since all that follows
+    it would be lost; empty lines may stand before a record and at the end.
+    """
     held, pieces = bytearray(), inflated(content)
 
     def until(n: int) -> bool:
@@ -136,23 +146,26 @@ def parsed(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             held.extend(piece)
         return True
 
-    while until(5):
+    while until(1):
+        if held[0] in b"\r\n":
+            del held[0]
+            continue
         end = held.find(END)
         while end < 0:
             known = len(held)
-            if known > 1 << 20 or not until(known + 1):
-                return
+            if not until(known + 1):
+                raise BrokenArchive("a header has no end")
             end = held.find(END, max(known - 3, 0))
-        head = bytes(held[:end]).decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
+        head = bytes(held[:end]).decode("utf-8", "replace").split("\r\n")
         if not head[0].startswith("WARC/"):
-            return
+            raise BrokenArchive("a record does not begin with its version")
         fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head[1:])}
         size = fields.get("content-length", "")
         if not size.isdigit():
-            return
+            raise BrokenArchive("a record has no length")
         start = end + len(END)
         if not until(start + int(size)):
-            return
+            raise BrokenArchive("a block is cut short")
         block = bytes(held[start : start + int(size)])
         until(start + int(size) + len(END))
         tail = start + int(size)
@@ -174,7 +187,7 @@ NUMBERS = {"segment", "total"}
 
 
 def read(spark: SparkSession, path: str, segmented: bool | None = None) -> DataFrame:
-    """The records of the archives below ``path``: the columns of FIELDS, and ``block``.
+    """The records of the archives below ``path``: the columns of FIELDS, and ``block``. A broken archive fails the job.
 
     ``segmented`` keeps only records that are segments, or only those that are whole.
     """

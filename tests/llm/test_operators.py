@@ -1,10 +1,13 @@
 """The operators against plain versions of themselves, and on odd rows and empty tables."""
 
+import base64
+import gzip
 import hashlib
 import math
 import random
 import re
 import tempfile
+import time
 
 import numpy as np
 import pytest
@@ -356,3 +359,89 @@ def test_segments_of_one_hash_never_exceed_a_shard(spark, monkeypatch):
     assert largest[0] is None or largest[0] <= 3000
     key = lambda r: repr(r)
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got), key=key) == sorted(((d, *x) for (d, _), x in zip(rows, plain_removed(rows))), key=key)
+
+
+# Long values, broken archives, and columns with the operators' own names
+
+
+def test_archives_with_a_long_url(spark, tmp_path):
+    url = "http://a/" + base64.b64encode(np.random.default_rng(1).bytes(3 << 20)).decode()  # does not compress
+    pages = [(1, url, "first"), (2, "http://b/", "second"), (3, None, "third" * 300_000)]
+    path = str(tmp_path / "warc")
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).sortWithinPartitions("page_id"), path)
+    got = {r.page_id: (r.uri, bytes(r.payload).decode()) for r in warc.pages(spark, path).collect()}
+    assert got == {i: (u, h) for i, u, h in pages}
+
+
+def test_broken_archives_raise():
+    good = warc.record({"WARC-Type": "response"}, b"abc") + warc.END
+    assert [b for _, b in warc.parsed(good + b"\r\n" + good)] == [b"abc", b"abc"] and list(warc.parsed(b"\r\n")) == list(warc.parsed(b"")) == []
+    for broken in (good[:-8], good + b"WARC/1.1\r\nWARC-Type: x", good + b"other\r\n\r\n", good + b"WARC/1.1\r\nX: y\r\n\r\n", gzip.compress(good)[:-9]):
+        with pytest.raises(warc.BrokenArchive):
+            list(warc.parsed(broken))
+
+
+def test_long_candidates(spark):
+    n = 1_000_000
+    rng = random.Random(14)
+    made = lambda letters: "".join(rng.choices(letters, k=n))
+    lower, upper, digits = "abcdefghijklnopqrstuvwyz", "ABCDEFGHIJKLNOPQRSTUVWYZ", "0123456789"  # without the words that are allowed
+    texts = {
+        "path": ("g1h2z3k4x9/" * (n // 11), False), "path, then more": ("g1h2z3k4x9/" * (n // 11) + "Z", False), "no slash": ("g1h2z3k4x9" * (n // 10) + "Z", False),
+        "lower": (made(lower), False), "digits": (made(digits), False), "both cases": (made(lower + upper), True), "hex": (made("0123ABCDEF"), True),
+        "letters and digits": (made(lower + upper + digits), True), "base64": (made(lower + upper + digits + "+/"), True), "url": (made(lower + upper + digits + "_-"), True),
+        "ruler": ("=" * n, False), "ends hot": ("zy1" * (n // 3) + "q8Zr2LmXv0Kt7Wn4YbGd", True), "spans": ('token="abcdef1234567890abcdef" and 9x8y7z6w5v4u3t2s1r0q ' * 15_000, None),
+    }
+    texts["path, then more"] = (texts["path, then more"][0], secret_of("g1h2z3k4x9/" * 4 + "Z"))
+    texts["no slash"] = (texts["no slash"][0], secret_of("g1h2z3k4x9" * 4 + "Z"))
+    df = spark.createDataFrame([(k, v) for k, (v, _) in texts.items()], "name string, text string").repartition(8)
+    start = time.time()
+    found = {r.name: r.n for r in secrets.scan(df).select("name", F.size(F.filter("secrets", lambda s: s["kind_no"] == 3)).alias("n")).collect()}
+    assert time.time() - start < 60
+    assert {k: found[k] > 0 for k in texts if texts[k][1] is not None} == {k: v for k, (_, v) in texts.items() if v is not None}
+    assert found["spans"] == 15_000
+
+
+def secret_of(value):
+    """Whether a candidate is a secret, by the plain version."""
+    import plain
+
+    return any(kind == 3 for _, kind, _ in plain.secret_spans(value))
+
+
+def test_long_words_and_pages(spark):
+    long = "x1" * 200_000
+    docs = spark.createDataFrame([(1, long), (2, long + " b"), (3, "a " * 200_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.judge(docs, labels).count() == quality.resample(docs, labels.selectExpr("doc_id", "quality AS label")).count() == 3
+    pages = spark.createDataFrame([(1, "http://a.net/" + "a1/" * 100_000), (2, "http://" + "b." * 100_000 + "net/")], "page_id long, url string")
+    assert {r.page_id: r.rule for r in url_filter.judge(pages, url_filter.rules(spark)).collect()} == {1: "net/", 2: "net/"}
+
+
+def test_empty_pages(spark, tmp_path):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write(none, str(tmp_path / "none"))
+    assert warc.resolved(spark, str(tmp_path / "none")).count() == 0
+    assert url_filter.judge(none, url_filter.rules(spark)).count() == 0
+
+
+OWN = {
+    "secrets": (lambda d: secrets.scan(d), {"secrets"}), "cleaned": (lambda d: decontamination.cleaned(d, d.sparkSession.createDataFrame([(1, "a b c d e")], "item_id long, text string")), set()),
+    "removed": (lambda d: suffix_dedup.removed(d), {"kept", "n_bytes", "n_removed", "n_spans"}), "judge": (lambda d: url_filter.judge(d, url_filter.rules(d.sparkSession)), {"host", "path", "priority", "rule", "verdict"}),
+    "mixture": (lambda d: mixing.mixture(d), set()), "resample": (lambda d: quality.resample(d, d.sparkSession.createDataFrame([], "doc_id long, label int")), {"log_weight", "key", "kept"}), "one_of_each": (lambda d: simhash.one_of_each(d), set()),
+}
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
+def test_columns_with_own_names_stay(spark, name):
+    """Every name that an operator gives a column of its own, with an underscore and without, is a caller's column here."""
+    operator, replaced = OWN[name]
+    names = "text assign access hex strings entropy base body stretches key own leak other spans url copies row id place part least value found of size copy fingerprint root hash".split()
+    more = {n: f"'{n}'" for x in names for n in (x, "_" + x) if n != "text"} | {n: "'mine'" for n in replaced}
+    docs = spark.createDataFrame([(1, "some words here", "a"), (2, "q8Zr2LmXv0Kt7Wn4YbGd", None)], "doc_id long, text string, source string")
+    docs = docs.selectExpr("*", *[f"{v} AS {n}" for n, v in more.items()])
+    found = operator(docs)
+    kept = [c for c in docs.columns if c not in replaced]
+    assert set(kept) <= set(found.columns) and len(set(found.columns)) == len(found.columns)
+    rows = {r.doc_id: r for r in found.collect()}
+    assert rows and all(rows[i][n] == n for i in rows for n in more if n in kept)

@@ -1,11 +1,6 @@
 """The stages on odd rows, each against what its operator decides."""
 
-import random
-
-import pytest
-
 import corpus_pipeline as pipeline
-from ledgerloom.llm import decontamination, quality, shingles, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,54 +15,3 @@ def test_stages_keep_columns_and_clean_rows(spark, documents):
     assert "[SECRET]" in docs.where("doc_id = 6").first().text
     mixed = pipeline.mix_sources(spark, docs, FOLDER)
     assert mixed.columns[: len(docs.columns)] == docs.columns and mixed.count() > 0
-
-
-def test_run_follows_the_operators(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").selectExpr("doc_id", "quality AS label")
-    good = pipeline.stage(quality.resample(docs, labels).where("kept").select(*docs.columns))
-    first = {r.doc_id for r in simhash.classes(good).where("doc_id = component_id").collect()}
-    leaked = {r.doc_id for r in decontamination.leaks(good, spark.read.parquet(f"{FOLDER}/benchmark.parquet")).collect()}
-    mixed = pipeline.run(spark, FOLDER)
-    ids = {r.doc_id for r in mixed.collect()}
-    assert ids and ids <= first - leaked
-    for r in mixed.groupBy("source").agg({"size": "sum", "target": "max", "source_size": "max"}).collect():
-        assert r["max(target)"] <= 3 * r["max(source_size)"]
-
-
-def plain_firsts(rows):
-    """The ids that stay: the least of each group linked by four fifths of the five-word shingles, by all pairs."""
-    sets = []
-    for _, text in rows:
-        words = (text or "").lower().split()
-        sets.append({" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set())
-    root = list(range(len(rows)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if a == b or 5 * len(a & b) >= 4 * len(a | b):
-                root = [root[j] if r == root[i] else r for r in root]
-    return {min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in set(root)}
-
-
-@pytest.mark.parametrize(("pairs", "common"), [(8, (10, 1 << 16)), (0, (2, 50))])
-def test_near_copies_are_all_pairs_of_similar_shingles(spark, monkeypatch, pairs, common):
-    monkeypatch.setattr(shingles, "PAIRS", pairs)  # 0: linked to single members first
-    monkeypatch.setattr(shingles, "COMMON", common)
-    rng = random.Random(12)
-    line = [f"line{i}" for i in range(12)]
-    rows = []
-    for _ in range(40):
-        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(3, 90))]
-        rows.append(words)
-        for _ in range(rng.randrange(0, 6)):  # edits one after the other, so that links form chains
-            words = list(words)
-            for _ in range(rng.randrange(0, 1 + len(words) // 25)):
-                words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
-            rows.append(words + (line if rng.random() < 0.2 else []))
-    rows += [line, line[:11], line + ["x"], []]
-    rng.shuffle(rows)
-    rows = [(i, " ".join(words)) for i, words in enumerate(rows)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    expected = plain_firsts(rows)
-    assert len(expected) < len(rows)
-    assert {r.doc_id for r in pipeline.drop_near_copies(spark, docs, FOLDER).collect()} == expected
