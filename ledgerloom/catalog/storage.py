@@ -234,13 +234,20 @@ def truncate_and_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("k18_continuous_copy", "SELECT * FROM events")
 def streamed_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries, the second one of older rows and with some of the first again; then a run that finds nothing new."""
+    """Ten deliveries, later ones of older rows and with a part of those before again, in a micro-batch each.
+
+    The stream is stopped and started again after the fourth and the seventh, and at last finds nothing new.
+    """
     source, target, checkpoint = (scratch_path(spark, x) for x in ("delivery", "copy", "copy-state"))
     events = table(spark, sf_dir, "events")
-    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
-    for part in (events.where(~early), events.where(early | (F.col("event_id") % 3 == 0)), events.limit(0)):
-        part.write.mode("append").parquet(source)
-        continuous_copy(spark, source, events.schema, target, checkpoint, ["event_id"]).awaitTermination()
+    turn = F.pmod(F.lit(10) - F.dayofyear("ts"), F.lit(10))
+    for number in range(10):
+        again = (turn < number) & (F.pmod(F.col("event_id") + number, F.lit(7)) == 0)
+        events.where((turn == number) | again).write.mode("append").parquet(source)
+        if number in (3, 6, 9):
+            copy = continuous_copy(spark, source, events.schema, target, checkpoint, ["event_id"], files_per_batch=1)
+            copy.awaitTermination()
+    continuous_copy(spark, source, events.schema, target, checkpoint, ["event_id"]).awaitTermination()
     return read_copy(spark, events.schema, target)
 
 

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +63,26 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+_changing = threading.RLock()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for one action, which takes them when it starts. Threads that need settings take turns."""
+    with _changing:
+        before = {name: spark.conf.get(name, None) for name in values}
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

@@ -8,9 +8,9 @@ A frame that was read from the table it goes to is staged in the shared folder f
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ledgerloom.operators.incremental import Names, affected_slices, compact, upsert
 from ledgerloom.operators.joins import as_list
 from ledgerloom.operators.sets import anti, stack_frames
-from ledgerloom.session import stage
+from ledgerloom.session import scratch_path, settings, stage
 from ledgerloom.sources.readers import load_csv, require_slice
 
 GRAINS = {"DAY": "yyyy-MM-dd", "MONTH": "yyyy-MM", "YEAR": "yyyy"}
@@ -82,32 +82,22 @@ def read_slice(
 
     Bounds may be left out unless the table requires them.
     """
-    settings = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    known = properties(spark, table)
     df = spark.table(table)
-    if start is None and end is None and settings.get("partition.filter.required") != "true":
+    if start is None and end is None and known.get("partition.filter.required") != "true":
         return df
-    ts, grain = settings["partition.time"], settings["partition.grain"]
+    ts, grain = known["partition.time"], known["partition.grain"]
     part = F.col(f"part_{ts}")
     first, last = (grain_of(F.lit(d).cast("date"), grain) for d in (start, end))
     return require_slice(df, ts, start, end).where((part >= first) & (part <= last))
 
 
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str):
-    """A session setting for one write (inserts into catalog tables take it from the session only)."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def overwrite_partitions(df: DataFrame, table: str, sort_by: Names = ()) -> None:
@@ -115,19 +105,44 @@ def overwrite_partitions(df: DataFrame, table: str, sort_by: Names = ()) -> None
     spark = df.sparkSession
     ordered = df.select(*spark.table(table).columns)
     laid = _layout(ordered, partition_columns(spark, table), as_list(sort_by))
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         laid.write.mode("overwrite").insertInto(table)
 
 
+SWAP = "swap.pending"  # table property: a change that was begun, as the path of its rows and the partitions it empties
+
+
 def _swap_rows(result: DataFrame, table: str, emptied: Sequence[object] = ()) -> None:
-    """Store the new rows of a table or of its touched partitions, then drop partitions that ran empty."""
+    """Store the new rows of a table or of its touched partitions, then drop partitions that ran empty.
+
+    Where both steps are needed, the rows are staged and the change is noted in a table property first and struck out
+    last: :func:`finish_swap`, which every change calls before it reads the table, repeats a change that was cut off.
+    """
     spark = result.sparkSession
     parts = partition_columns(spark, table)
     if not parts:
         stage(result).write.mode("overwrite").insertInto(table)
         return
-    overwrite_partitions(result, table)
-    drop_partitions(spark, table, parts[0], emptied)
+    if not emptied:
+        overwrite_partitions(result, table)
+        return
+    path = scratch_path(spark, "swap")
+    result.write.parquet(path)
+    noted = json.dumps({"path": path, "part": parts[0], "emptied": [None if v is None else str(v) for v in emptied]})
+    set_property(spark, table, SWAP, noted)
+    finish_swap(spark, table)
+
+
+def finish_swap(spark: SparkSession, table: str) -> bool:
+    """Carry out a change that was noted and not struck out; whether there was one. Done twice it changes nothing more."""
+    noted = properties(spark, table).get(SWAP)
+    if not noted:
+        return False
+    change = json.loads(noted)
+    overwrite_partitions(spark.read.schema(spark.table(table).schema).parquet(change["path"]), table)
+    drop_partitions(spark, table, change["part"], change["emptied"])
+    spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{SWAP}')")
+    return True
 
 
 def _swap_touched(result: DataFrame, table: str, part: str, touched: Sequence[object]) -> None:
@@ -162,6 +177,7 @@ def replace_by_values(df: DataFrame, table: str, col: str) -> None:
     spark = df.sparkSession
     parts = partition_columns(spark, table)
     fresh = stage(df)
+    finish_swap(spark, table)
     if parts == [col] and fresh.where(F.col(col).isNull()).isEmpty():
         overwrite_partitions(fresh, table)
         return
@@ -183,6 +199,7 @@ def replace_slice(df: DataFrame, table: str, ts: str, grain: str, start: dt.date
     """
     spark, part = df.sparkSession, f"part_{ts}"
     fresh = stage(df.withColumn(part, grain_of(F.col(ts), grain)))
+    finish_swap(spark, table)
     first, last = (grain_of(F.lit(d).cast("date"), grain) for d in (start, end))
     old = spark.table(table).where((F.col(part) >= first) & (F.col(part) <= last))
     inside = (F.col(ts) >= F.lit(start).cast("date")) & (F.col(ts) < F.lit(end).cast("date"))
@@ -197,11 +214,13 @@ def merge(
 ) -> None:
     """Upsert into a stored table; see :func:`ledgerloom.operators.incremental.upsert`.
 
-    Only partitions that hold a key of the new rows, or receive one, are rewritten. ``fixed_partition`` promises that
-    a key never changes its partition, which saves the search for old rows elsewhere.
+    Only partitions that hold a key of the new rows, or receive one, are rewritten; a table without partitions is rewritten
+    whole. ``fixed_partition`` promises that a key never changes its partition, which saves the search for old rows
+    elsewhere. A merge that is cut off is finished by the next change of the table.
     """
     spark = df.sparkSession
     fresh = stage(df)
+    finish_swap(spark, table)
     old = spark.table(table)
     parts = partition_columns(spark, table)
     if not parts:
@@ -217,15 +236,51 @@ def merge(
     _swap_touched(result, table, part, touched)
 
 
+MARK = "compacted.upto"  # table property: when the newest file was written that a compaction has seen
+
+
+def _written(spark: SparkSession, table: str, parts: Sequence[str]) -> DataFrame:
+    """Partition values and the time of the newest file in each; no column of the rows is read."""
+    files = spark.table(table).select(*parts, F.col("_metadata.file_modification_time").alias("_at"))
+    return files.groupBy(*parts).agg(F.max("_at").alias("_at"))
+
+
 def compact_table(
     spark: SparkSession, table: str, keys: Names, version: str | None = None, tie: Names = ()
 ) -> None:
-    """Leave one row per key in the stored table."""
-    result = stage(compact(spark.table(table), keys, version, tie))
+    """Leave one row per key in the stored table.
+
+    Only partitions with a file from after the last compaction, and others that hold one of their keys, are looked at, and
+    only those that lose rows are rewritten. A table without partitions is rewritten whole. The time of the newest
+    file seen is kept as a table property; files of the very same time count as new the next time. Keys are those of
+    the call before: after a change of keys, unset the property.
+    """
+    finish_swap(spark, table)
     parts = partition_columns(spark, table)
-    before = {r[0] for r in spark.table(table).select(parts[0]).distinct().collect()} if parts else set()
-    after = {r[0] for r in result.select(parts[0]).distinct().collect()} if parts else set()
-    _swap_rows(result, table, sorted(before - after, key=str))
+    if not parts:
+        _swap_rows(compact(spark.table(table), keys, version, tie), table)
+        return
+    part = parts[0]
+    spark.catalog.refreshTable(table)
+    mark = properties(spark, table).get(MARK)
+    written = stage(_written(spark, table, parts[:1]), "written")
+    fresh = written if mark is None else written.where(F.col("_at") >= F.timestamp_micros(F.lit(int(mark))))
+    changed = [r[0] for r in fresh.select(part).collect()]
+    if changed:
+        old = spark.table(table)
+        new = old.where(_within(part, changed))
+        touched = changed if mark is None else affected_slices(old, new, keys, part, unique=False)
+        before = old.where(_within(part, touched))
+        result = stage(compact(before, keys, version, tie))
+        counts = before.groupBy(part).agg(F.count(F.lit(1)).alias("n")).unionByName(result.groupBy(part).agg((-F.count(F.lit(1))).alias("n")))
+        kept = {r[0] for r in result.select(part).distinct().collect()}
+        losing = [r[0] for r in counts.groupBy(part).agg(F.sum("n").alias("n")).where("n > 0").collect()]
+        if losing:
+            _swap_rows(result.where(_within(part, losing)), table, [v for v in losing if v not in kept])
+            spark.catalog.refreshTable(table)
+    newest = _written(spark, table, parts[:1]).agg(F.unix_micros(F.max("_at")).alias("at")).first()["at"]
+    if newest is not None:
+        set_property(spark, table, MARK, str(newest))
 
 
 def update_table(
@@ -367,12 +422,12 @@ def truncate(spark: SparkSession, table: str) -> None:
 
 
 def set_property(spark: SparkSession, table: str, name: str, value: object) -> None:
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{value}')")
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{name}' = '{text}')")
 
 
 def table_property(spark: SparkSession, table: str, name: str) -> str | None:
-    value = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(name)
-    return value
+    return properties(spark, table).get(name)
 
 
 def set_table_expiry(spark: SparkSession, table: str, days: int, as_of: dt.date) -> None:
