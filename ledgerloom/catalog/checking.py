@@ -27,6 +27,33 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "q01_report_of_one_scan",
+    """
+WITH t AS (SELECT *, CASE WHEN o_totalprice > 100000 THEN o_custkey END AS buyer FROM orders)
+SELECT unnest(['key present', 'buyer present', 'key unique', 'buyer and status unique', 'some buyer is missing', 'price above 1000', 'comment not blank']) AS "check", unnest(v) AS violations, unnest(v) = 0 AS passed
+FROM (SELECT [count(*) FILTER (o_orderkey IS NULL), count(*) FILTER (buyer IS NULL), count(o_orderkey) - count(DISTINCT o_orderkey),
+  count(*) FILTER (buyer IS NOT NULL AND o_orderstatus IS NOT NULL) - count(DISTINCT CASE WHEN buyer IS NOT NULL THEN buyer || ':' || o_orderstatus END),
+  CASE WHEN count(*) FILTER (buyer IS NULL) = 0 THEN 1 ELSE 0 END, count(*) FILTER (NOT coalesce(o_totalprice > 1000, false)),
+  CASE WHEN count(*) FILTER (o_orderpriority <> '') = 0 THEN 1 ELSE 0 END] AS v FROM t)
+""",
+)
+def report_of_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buyer = F.when(F.col("o_totalprice") > 100000, F.col("o_custkey"))
+    return checks.table_report(
+        table(spark, sf_dir, "orders").withColumn("buyer", buyer),
+        {
+            "key present": checks.nulls("o_orderkey"),
+            "buyer present": checks.nulls("buyer"),
+            "key unique": checks.surplus("o_orderkey"),
+            "buyer and status unique": checks.surplus(["buyer", "o_orderstatus"]),
+            "some buyer is missing": checks.no_null("buyer"),
+            "price above 1000": checks.broken(F.col("o_totalprice") > 1000),
+            "comment not blank": checks.all_blank(["o_orderpriority"]),
+        },
+    )
+
+
 NULLABLE = "(SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN o_custkey END AS buyer FROM orders)"
 
 

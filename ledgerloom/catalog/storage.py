@@ -98,6 +98,22 @@ def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.lines").join(spark.table(f"{database}.orders"), "l_orderkey")
 
 
+@query(
+    "k06_interleaved",
+    """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem
+WHERE l_suppkey <= (SELECT max(l_suppkey) / 10 FROM lineitem) OR l_shipdate >= DATE '1998-06-01'
+""",
+)
+def clustered_on_several(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines stored by part, supplier and date at once, filtered by the second and the third of them."""
+    name = f"{scratch_database(spark)}.lines"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    tables.write_interleaved(lines, name, ["l_partkey", "l_suppkey", "l_shipdate"])
+    most = lines.agg(F.max("l_suppkey")).first()[0]
+    return spark.table(name).where((F.col("l_suppkey") <= most / 10) | (F.col("l_shipdate") >= F.lit(dt.date(1998, 6, 1))))
+
+
 @query(
     "k07_conform",
     """

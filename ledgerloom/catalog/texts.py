@@ -157,3 +157,20 @@ def newest_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def keyword_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.keyword_flag(table(spark, sf_dir, "documents"), "source", "text", ("nicht", "was"), "has_words")
+
+
+@query(
+    "t06_keyword_table",
+    r"""
+WITH words AS (SELECT DISTINCT w FROM (
+    SELECT regexp_extract(lower(text), '^[a-z]{6,} ') AS w FROM benchmark UNION ALL SELECT regexp_extract(lower(text), '^[a-z]+ [a-z]+') FROM benchmark
+    UNION ALL SELECT regexp_extract(lower(text), '[a-z]+[.] [a-z]+') FROM benchmark) WHERE w <> '')
+SELECT doc_id, bool_or(text IS NOT NULL AND regexp_matches(lower(text), '\b' || replace(rtrim(w), '.', '\.') || '\b')) AS has_words FROM documents, words GROUP BY doc_id
+""",
+)
+def keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, phrases and ends of sentences that open the benchmark's items, looked for in every document."""
+    items = table(spark, sf_dir, "benchmark").select(F.lower("text").alias("t"))
+    shapes = ("^[a-z]{6,} ", "^[a-z]+ [a-z]+", "[a-z]+[.] [a-z]+")
+    words = items.select(F.explode(F.array(*[F.rtrim(F.regexp_extract("t", s, 0)) for s in shapes])).alias("word"))
+    return messages.keyword_flags(table(spark, sf_dir, "documents"), "doc_id", "text", words, "has_words")

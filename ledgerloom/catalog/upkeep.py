@@ -12,6 +12,8 @@ from ledgerloom.catalog.roles import cents
 from ledgerloom.catalog.scans import VERSIONED, versioned
 from ledgerloom.operators import incremental as inc
 from ledgerloom.operators.numbering import number_rows
+from ledgerloom.session import scratch_database
+from ledgerloom.sources import tables
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -194,6 +196,36 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.scd2(once, new, "c_custkey", dt.date(2024, 3, 1), close_missing=True)
 
 
+@query(
+    "i18_stored_history",
+    """
+WITH days AS (SELECT * FROM (VALUES (1, DATE '2024-01-01'), (2, DATE '2024-02-01'), (3, DATE '2024-03-01')) d(n, day)),
+seen AS (
+  SELECT 1 AS n, c_custkey, c_mktsegment, c_nationkey FROM customer WHERE c_acctbal < 8000
+  UNION ALL SELECT 2, c_custkey, CASE WHEN c_nationkey < 5 THEN 'GARDEN' ELSE c_mktsegment END, c_nationkey FROM customer WHERE c_acctbal > 0
+  UNION ALL SELECT 3, c_custkey, c_mktsegment, c_nationkey FROM customer WHERE c_acctbal < 9000),
+begun AS (SELECT *, CASE WHEN lag(n) OVER w = n - 1 AND lag(c_mktsegment) OVER w = c_mktsegment THEN 0 ELSE 1 END AS new
+  FROM seen WINDOW w AS (PARTITION BY c_custkey ORDER BY n)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY c_custkey ORDER BY n) AS run FROM begun),
+spans AS (SELECT c_custkey, c_mktsegment, c_nationkey, min(n) AS first, max(n) AS last FROM runs GROUP BY c_custkey, run, c_mktsegment, c_nationkey)
+SELECT c_custkey, c_mktsegment, c_nationkey, a.day AS valid_from, b.day AS valid_to
+FROM spans JOIN days a ON a.n = first LEFT JOIN days b ON b.n = last + 1
+""",
+)
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots recorded in a stored table, the second one twice."""
+    customers, name = table(spark, sf_dir, "customer"), f"{scratch_database(spark)}.history"
+    segment = F.when(F.col("c_nationkey") < 5, "GARDEN").otherwise(F.col("c_mktsegment")).alias("c_mktsegment")
+    snapshots = [
+        (1, customers.where("c_acctbal < 8000").select("c_custkey", "c_mktsegment", "c_nationkey")),
+        (2, customers.where("c_acctbal > 0").select("c_custkey", segment, "c_nationkey")),
+        (3, customers.where("c_acctbal < 9000").select("c_custkey", "c_mktsegment", "c_nationkey")),
+    ]
+    for month, rows in (*snapshots[:2], *snapshots[1:]):
+        tables.record_history(rows, name, "c_custkey", dt.date(2024, month, 1), close_missing=True)
+    return tables.read_history(spark, name)
+
+
 @query(
     "i20_summing",
     "SELECT o_custkey, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total FROM orders GROUP BY ALL",
@@ -248,6 +280,25 @@ def _signed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("sign", F.lit(1)).unionByName(back)
 
 
+@query(
+    "i21_quantile_states",
+    "SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS n, true AS close FROM orders GROUP BY ALL",
+)
+def quantile_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily quantile sketches merged to months; the share of orders up to each estimate lies within 0.03 of its own.
+
+    Where a value is that of many orders the shares on either side of it count.
+    """
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("long").alias("year"), F.month("o_orderdate").cast("long").alias("month"), F.to_date("o_orderdate").alias("day"), cents("o_totalprice").alias("c"))
+    daily = inc.agg_state(orders, ["year", "month", "day"], "c", quantiles=True)
+    shares = (0.1, 0.5, 0.9)
+    monthly = inc.finish_states(inc.merge_states(daily, ["year", "month"]), shares).drop("n")
+    both = orders.join(monthly, ["year", "month"])
+    slack = F.greatest(F.lit(0.03), 1 / F.count(F.lit(1)))
+    inside = [(F.avg((F.col("c") <= F.col(f"q{s * 100:g}")).cast("int")) >= s - slack) & (F.avg((F.col("c") < F.col(f"q{s * 100:g}")).cast("int")) <= s + slack) for s in shares]
+    return both.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), (inside[0] & inside[1] & inside[2]).alias("close"))
+
+
 @query(
     "i22_collapse",
     VERSIONED

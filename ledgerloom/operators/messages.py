@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import to_gmt7
 from ledgerloom.functions.text import clean_text, contains_words, extract_email, remove_accents, strip_symbols
 from ledgerloom.operators.incremental import process_remaining
-from ledgerloom.session import spread_rows
+from ledgerloom.session import spread_rows, stage
 
 PARTS = "id string, subject string, encoded boolean, sender_text string, date_text string, body_text string"
 
@@ -137,3 +137,34 @@ def notification_log(
 def keyword_flag(texts: DataFrame, owner: str, text: str, words: Sequence[str], name: str) -> DataFrame:
     """Per owner: does any text contain any of the words?"""
     return texts.groupBy(owner).agg(F.bool_or(contains_words(F.col(text), words)).alias(name))
+
+
+TOKEN = "[0-9A-Za-z_]+"  # what word borders part
+
+
+def keyword_flags(texts: DataFrame, owner: str, text: str, words: DataFrame, name: str) -> DataFrame:
+    """As :func:`keyword_flag`, with the words in a table (``word``) of any size.
+
+    A word is filed under its longest token, and texts meet words by the tokens they hold, an equality join. A word that is
+    one token is found by that; phrases and words with other characters are then verified in the text. Words without a
+    token are tried on every text. Null and empty words find nothing.
+    """
+    lowered = F.lower(F.col("word"))
+    tokens = F.array_sort(F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0)), lambda a, b: F.length(b) - F.length(a))
+    known = words.select("word").where("word <> ''").distinct().select(lowered.alias("word"), F.coalesce(F.get(tokens, F.lit(0)), F.lit("")).alias("token")).distinct()
+    known = known.withColumn("whole", F.col("word") == F.col("token"))
+    own = stage(texts.where(F.col(text).isNotNull()).select(F.col(owner).alias("owner"), F.lower(F.col(text)).alias("text")), "texts")
+    own = own.withColumn("text_key", F.md5("text"))
+    held = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))))
+    met = own.select("owner", "text_key", F.explode(held).alias("token")).join(known, "token")
+    sure = met.where("whole").select("owner")
+    side = lambda c: F.when(c.rlike("[0-9A-Za-z_]"), "!").otherwise("=")
+    quoted = F.regexp_replace("word", r"([^0-9A-Za-z_\x80-\x{10FFFF}])", r"\\$1")
+    before, after = side(F.substring("word", 1, 1)), side(F.substring(F.col("word"), F.lit(-1), F.lit(1)))
+    pattern = F.concat(F.lit("(?iu)(?<"), before, F.lit("[0-9A-Za-z_])"), quoted, F.lit("(?"), after, F.lit("[0-9A-Za-z_])"))
+    maybe = met.where("NOT whole").select("text_key", pattern.alias("pattern")).distinct()
+    verified = maybe.join(own, "text_key").where(F.rlike("text", F.col("pattern"))).select("owner")
+    hits = sure.union(verified).distinct().select(F.col("owner").alias("_owner"), F.lit(True).alias("_hit"))
+    any_text = texts.groupBy(owner).agg(F.bool_or(F.col(text).isNotNull()).alias("_any"))
+    flag = F.coalesce("_hit", F.when(F.col("_any"), False))
+    return any_text.join(hits, F.col(owner).eqNullSafe(F.col("_owner")), "left").select(owner, flag.alias(name))

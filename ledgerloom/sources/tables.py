@@ -11,12 +11,13 @@ import datetime as dt
 import json
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.incremental import Names, affected_slices, compact, upsert
+from ledgerloom.operators.incremental import Names, affected_slices, compact, scd2, upsert
 from ledgerloom.operators.joins import as_list
 from ledgerloom.operators.sets import anti, stack_frames
 from ledgerloom.session import scratch_path, settings, stage
@@ -65,6 +66,41 @@ def write_bucketed(df: DataFrame, table: str, keys: Names, buckets: int) -> None
     df.repartition(buckets, *names).write.mode("overwrite").bucketBy(buckets, *names).sortBy(*names).saveAsTable(table)
 
 
+RANGES = 64  # ranges of a column that an interleaved layout tells apart
+
+
+def range_id(col: Column, bounds: Sequence[object]) -> Column:
+    """How many of the sorted bounds a value has reached, by halving; 0 for NULL."""
+    if not bounds:
+        return F.lit(0)
+    middle = len(bounds) // 2
+    reached = range_id(col, bounds[middle + 1 :]) + (middle + 1)
+    return F.when(col >= F.lit(bounds[middle]), reached).otherwise(range_id(col, bounds[:middle]))
+
+
+def interleaved(ids: Sequence[Column]) -> Column:
+    """The bits of several range ids in turn, from the lowest ones up."""
+    width = (RANGES - 1).bit_length()
+    bits = [F.shiftleft(F.shiftright(n.cast("long"), b).bitwiseAND(1), b * len(ids) + i) for b in range(width) for i, n in enumerate(ids)]
+    return reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+
+def write_interleaved(df: DataFrame, table: str, by: Sequence[str], files: int | None = None) -> None:
+    """Store a table so that a filter on any of the columns ``by`` (numbers, dates, times) skips most files.
+
+    Each column is cut into RANGES of about equally many rows, rows are dealt by the interleaved bits of their ranges,
+    and every file so has narrow bounds of all of them. Up to ten columns; the bounds are one row of RANGES values each.
+    """
+    if not 0 < len(by) <= 10:
+        raise ValueError("an interleaved layout is by one to ten columns")
+    steps = [i / RANGES for i in range(1, RANGES)]
+    found = df.agg(*[F.percentile_approx(c, steps, 20 * RANGES).alias(f"b{i}") for i, c in enumerate(by)]).first()
+    ids = [range_id(F.col(c), sorted(set(found[i] or ()))) for i, c in enumerate(by)]
+    placed = df.withColumn("_z", interleaved(ids))
+    placed = placed.repartitionByRange(files, "_z") if files else placed.repartitionByRange("_z")
+    placed.sortWithinPartitions("_z", *by).drop("_z").write.mode("overwrite").format("parquet").saveAsTable(table)
+
+
 def write_partitioned(
     df: DataFrame, table: str, ts: str, grain: str = "DAY", mode: str = "overwrite", sort_by: Names = ()
 ) -> None:
@@ -236,6 +272,41 @@ def merge(
     _swap_touched(result, table, part, touched)
 
 
+HISTORY, OPEN = "part_valid", "open"  # partition column of a history: OPEN, or the day on which its rows were closed
+
+
+def record_history(df: DataFrame, table: str, keys: Names, as_of: dt.date, close_missing: bool = False) -> None:
+    """Apply a snapshot to a stored history; see :func:`ledgerloom.operators.incremental.scd2`. Created on first use.
+
+    Open rows are a partition of their own, which alone is read and rewritten; rows that the snapshot closes move to the
+    partition of its day. Older days are neither read nor written, so a run costs what is open. Both partitions change in one
+    write, and the same snapshot applied again changes nothing.
+    """
+    spark = df.sparkSession
+    columns = [*df.columns, "valid_from", "valid_to", HISTORY]
+    if not exists(spark, table):
+        dated = df.withColumns({"valid_from": F.lit(as_of).cast("date"), "valid_to": F.lit(None).cast("date"), HISTORY: F.lit(OPEN)})
+        write(dated.select(*columns), table, partition_by=HISTORY)
+        return
+    fresh = stage(df)
+    finish_swap(spark, table)
+    old = spark.table(table)
+    result = scd2(old.where(F.col(HISTORY) == OPEN).drop(HISTORY), fresh, keys, as_of, close_missing)
+    result = result.withColumn(HISTORY, F.coalesce(F.date_format("valid_to", "yyyy-MM-dd"), F.lit(OPEN)))
+    # a second snapshot of the day adds to what the first one closed
+    both = result.unionByName(old.where(F.col(HISTORY) == as_of.isoformat()))
+    _swap_touched(both, table, HISTORY, [OPEN])
+
+
+def read_history(spark: SparkSession, table: str, on: dt.date | None = None) -> DataFrame:
+    """A stored history: the rows valid on a day, from the open ones and those closed later, or all of them."""
+    df = spark.table(table)
+    if on is not None:
+        df = df.where((F.col(HISTORY) == OPEN) | (F.col(HISTORY) > on.isoformat()))
+        df = df.where((F.col("valid_from") <= F.lit(on)) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.lit(on))))
+    return df.drop(HISTORY)
+
+
 MARK = "compacted.upto"  # table property: when the newest file was written that a compaction has seen
 
 
