@@ -100,6 +100,33 @@ def edge_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.edge_diff(target, latest, dt.datetime(2024, 1, 31, 6))
 
 
+@query(
+    "i08_stored_edges",
+    EDGES
+    + """
+SELECT *, make_timestamp(0) AS unfollowed_at, 'follow' AS note FROM stored
+UNION ALL FROM (SELECT DISTINCT ON (owner_id, follower_id) * FROM (
+  SELECT *, make_timestamp(0) AS unfollowed_at, 'follow' AS note
+  FROM snapshot ANTI JOIN stored USING (owner_id, follower_id, date_key) WHERE date_key >= DATE '2024-01-28'
+  UNION ALL
+  SELECT * REPLACE (false AS following_status), TIMESTAMP '2024-01-31 06:00:00', 'unfollow'
+  FROM stored ANTI JOIN snapshot USING (owner_id, follower_id, date_key))
+ORDER BY owner_id, follower_id, date_key DESC)
+""",
+)
+def stored_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of edges in a stored table, from two snapshots."""
+    name = f"{scratch_database(spark)}.edges"
+    never = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    first, second = (
+        _edges(spark, sf_dir, kept).withColumns({"unfollowed_at": never, "note": F.lit("follow")})
+        for kept in (F.col("ts") < F.lit(dt.date(2024, 1, 27)), F.col("ts") >= F.lit(dt.date(2024, 1, 26)))
+    )
+    for snapshot, day in ((first, dt.datetime(2024, 1, 27, 6)), (second, dt.datetime(2024, 1, 31, 6))):
+        tables.record_edges(snapshot, name, day)
+    return spark.table(name).drop(tables.RUN)
+
+
 DIMS = """
 WITH stored AS (SELECT c_custkey AS user_id, c_name AS alias, c_acctbal > 2000 AS is_allowed,
     DATE '2024-03-01' - c_nationkey::INT AS created_at, DATE '2024-03-01' - c_nationkey::INT AS last_updated_at

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators.incremental import Names, affected_slices, compact, scd2, upsert
+from ledgerloom.operators.incremental import Names, affected_slices, compact, edge_diff, scd2, upsert
 from ledgerloom.operators.joins import as_list
 from ledgerloom.operators.sets import anti, stack_frames
 from ledgerloom.session import scratch_path, settings, stage
@@ -307,6 +308,59 @@ def read_history(spark: SparkSession, table: str, on: dt.date | None = None) ->
     return df.drop(HISTORY)
 
 
+LIVE, RUN = "edges.live", "part_run"  # table property: the day of the last run and its live edges; partition column: the day of the run
+
+
+def live_changes(live: DataFrame, latest: DataFrame, as_of: dt.datetime, ends: tuple[str, str], window_days: int = 3) -> DataFrame:
+    """What a snapshot changes in the live edges; see :func:`ledgerloom.operators.incremental.edge_diff`.
+
+    The live edges are stored bucketed by the join's key, so that only the snapshot is shuffled.
+    """
+    return edge_diff(live, latest.select(*live.columns), as_of, *ends, window_days)
+
+
+def live_edges(spark: SparkSession, table: str) -> tuple[str, str]:
+    """The day of a history's last run, and the table of its live edges."""
+    day, live = json.loads(table_property(spark, table, LIVE))
+    return day, live
+
+
+def record_edges(
+    latest: DataFrame, table: str, as_of: dt.datetime, ends: tuple[str, str] = ("owner_id", "follower_id"), since: dt.date | None = None, window_days: int = 3, buckets: int | None = None
+) -> None:
+    """Apply a snapshot of an edge set to a stored history of its changes. Created on first use.
+
+    The history has a partition per run, and no run reads those before it. What a snapshot can change lies apart: edges
+    that are open, or dated from ``since`` on (where the snapshot begins; by default all). These are a table of their own,
+    bucketed by both ends and the date. Each run writes a new one, which the history's property then names: a run that
+    is cut off leaves the old one in force, and its repetition writes the same changes to the same partition. Another run of a
+    day that has ended adds to the day's partition.
+    """
+    spark, keys = latest.sparkSession, [*ends, "date_key"]
+    day = F.lit(as_of.date().isoformat())
+    fresh = stage(latest)
+    known = exists(spark, table)
+    if known:
+        last, before = live_edges(spark, table)
+        live = spark.table(before)
+        changes = stage(live_changes(live, fresh, as_of, ends, window_days).select(*fresh.columns))
+        run = changes.withColumn(RUN, day)
+        if last == as_of.date().isoformat():
+            run = stage(run.unionByName(spark.table(table).where(F.col(RUN) == last)).distinct())
+        overwrite_partitions(run, table)
+        live = live.join(changes.select(*keys), keys, "left_anti").select(*fresh.columns).unionByName(changes)
+    else:
+        write(fresh.withColumn(RUN, day), table, partition_by=RUN)
+        live = fresh
+    if since is not None:
+        live = live.where(F.coalesce("following_status", F.lit(False)) | (F.col("date_key") >= F.lit(since)))
+    now = f"{table}_live_{uuid.uuid4().hex[:12]}"
+    write_bucketed(live, now, keys, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    set_property(spark, table, LIVE, json.dumps([as_of.date().isoformat(), now]))
+    if known:
+        drop(spark, before)
+
+
 MARK = "compacted.upto"  # table property: when the newest file was written that a compaction has seen
 
 

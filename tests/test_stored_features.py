@@ -110,3 +110,38 @@ def test_range_ids_count_reached_bounds(spark):
     df = spark.createDataFrame([(v,) for v in [None, -5, 0, 1, 2, 3, 9, 100]], "v int")
     found = {r.v: r.n for r in df.select("v", tables.range_id(F.col("v"), [1, 2, 9]).alias("n")).collect()}
     assert found == {None: 0, -5: 0, 0: 0, 1: 1, 2: 2, 3: 2, 9: 3, 100: 3}
+
+
+def edge_rows(spark, data):
+    """Edges (owner, follower, day of January) as a snapshot."""
+    never = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    rows = [(dt.date(2024, 1, d), o, f, dt.datetime(2024, 1, d, 5), True, False, "follow") for o, f, d in data]
+    df = spark.createDataFrame(rows, "date_key date, owner_id int, follower_id string, followed_at timestamp_ntz, following_status boolean, is_auto_follow boolean, note string")
+    return df.withColumn("unfollowed_at", never)
+
+
+def test_edge_history_shuffles_only_the_snapshot(spark, database, monkeypatch):
+    name = f"{database}.edges"
+    history = lambda: sorted((r.owner_id, r.follower_id, r.date_key.day, r.note) for r in spark.table(name).collect())
+    tables.record_edges(edge_rows(spark, [(1, "a", 10), (2, "b", 11), (3, "c", 12)]), name, dt.datetime(2024, 1, 13))
+    live = spark.table(tables.live_edges(spark, name)[1])
+    second = edge_rows(spark, [(1, "a", 10), (3, "c", 14), (4, "d", 14)])
+    with monkeypatch.context() as m:  # cut off before the new live edges are in force
+        m.setattr(tables, "write_bucketed", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.record_edges(second, name, dt.datetime(2024, 1, 15))
+    plan = tables.live_changes(live, second, dt.datetime(2024, 1, 15), ("owner_id", "follower_id"))._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("SortMergeJoin") :]
+    assert "Bucketed: true" in plan and join.count("Exchange") == 1 and plan.count("SortMergeJoin") == 1
+    tables.record_edges(second, name, dt.datetime(2024, 1, 15))
+    expected = [(1, "a", 10, "follow"), (2, "b", 11, "follow"), (3, "c", 12, "follow"), (2, "b", 11, "unfollow"), (3, "c", 14, "follow"), (4, "d", 14, "follow")]
+    assert history() == sorted(expected)
+    for _ in range(2):  # of several changes of an edge a run emits the newest, the next one the other
+        tables.record_edges(second, name, dt.datetime(2024, 1, 15))
+        assert history() == sorted([*expected, (3, "c", 12, "unfollow")])
+    earlier = files(spark, name, f"{tables.RUN} = '2024-01-13'")
+    tables.record_edges(edge_rows(spark, [(1, "a", 10)]), name, dt.datetime(2024, 1, 16), since=dt.date(2024, 1, 16))
+    assert files(spark, name, f"{tables.RUN} = '2024-01-13'") == earlier
+    now = spark.table(tables.live_edges(spark, name)[1])
+    assert {(r.owner_id, r.note) for r in now.collect()} == {(1, "follow")}
+    assert spark.sql(f"SHOW TABLES IN {database}").count() == 2
