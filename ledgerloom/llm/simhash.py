@@ -19,6 +19,7 @@ SEED = 42  # of the shingles' XXH64
 DISTANCE = 4  # fingerprints link at this many differing bits or fewer
 SEGMENTS = ((0, 21), (21, 42), (42, 64))  # of DISTANCE bits, one of three segments gets one at most
 REST = 22  # bits of the longest segment
+CROWD = 64  # fingerprints with one signature from which they are linked through a centre first; results do not depend on it
 
 
 def fingerprint(text: bytes) -> int:
@@ -87,14 +88,50 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     Found by equality on a signature; the join itself verifies the distance and keeps a pair only at the first
     signature that it shares, so that no pair is emitted twice. At most five bits, by the pigeonhole principle.
     """
+    index = signatures(fps, distance)
+    left, right = (index.select("signature", F.col("fp").alias(c)) for c in "ab")
+    near, once = linked(F.col("a"), F.col("b"), left["signature"], distance)
+    return left.join(right, (left["signature"] == right["signature"]) & (F.col("a") < F.col("b")) & near & once).select("a", "b")
+
+
+def signatures(fps: DataFrame, distance: int) -> DataFrame:
+    """``fp, signature``: 64 rows a fingerprint."""
     if not 0 < distance < 2 * len(SEGMENTS):
         raise ValueError(f"distance must be 1 to {2 * len(SEGMENTS) - 1}")
-    index = fps.select(F.col("fp"), F.explode(variants(F.col("fp"))).alias("signature"))
-    left, right = (index.select("signature", F.col("fp").alias(c)) for c in "ab")
-    differ = F.col("a").bitwiseXOR(F.col("b"))
-    near = (F.col("a") < F.col("b")) & (F.bit_count(differ) <= distance)
-    once = first_shared(differ) == F.shiftrightunsigned(left["signature"], REST)
-    return left.join(right, (left["signature"] == right["signature"]) & near & once).select("a", "b")
+    return fps.select(F.col("fp"), F.explode(variants(F.col("fp"))).alias("signature"))
+
+
+def linked(a: Column, b: Column, signature: Column, distance: int) -> tuple[Column, Column]:
+    """Whether two fingerprints link, and whether the signature is the first that they share."""
+    differ = a.bitwiseXOR(b)
+    return F.bit_count(differ) <= distance, first_shared(differ) == F.shiftrightunsigned(signature, REST)
+
+
+def spanning(fps: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
+    """``a, b``: links between distinct fingerprints ``fp`` that reach the same fingerprints as all of :func:`links`.
+
+    Fingerprints that share a signature with more than ``crowd - 1`` others have a centre, the one of lowest hash. Those
+    within ``distance`` of it link to it, and not to each other: m near copies make m links instead of their square.
+    All other pairs are met as in :func:`links`: of a crowd, what is farther from the centre meets everyone.
+
+    No pair gets apart by this. At the first signature that a pair shares, it either is met or both link to the centre, whose
+    hash is lower than both; a link to a centre that first shares another signature is a pair of the same kind there,
+    with a lower hash each time.
+    """
+    index = signatures(fps, distance)
+    crowded = stage(index.groupBy("signature").count().filter(F.col("count") > crowd).select("signature"), "crowded")
+    lowest = F.min(F.struct(F.xxhash64("fp").alias("rank"), "fp")).alias("lowest")
+    centres = stage(index.join(crowded, "signature").groupBy("signature").agg(lowest).select("signature", F.col("lowest.fp").alias("centre")), "centres")
+    close = F.coalesce(F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= distance, F.lit(False)).alias("close")
+    # stored, so that the planner can split a crowd on both sides of the join
+    marked = stage(index.join(centres, "signature", "left").select("fp", "signature", "centre", close), "signatures")
+    _, once = linked(F.col("fp"), F.col("centre"), F.col("signature"), distance)
+    stars = marked.filter(F.col("close") & (F.col("fp") != F.col("centre")) & once).select(F.col("fp").alias("a"), F.col("centre").alias("b"))
+    left = marked.filter(~F.col("close")).select("signature", F.col("fp").alias("a"))
+    right = marked.select(F.col("signature").alias("shared"), F.col("fp").alias("b"), "close")
+    near, once = linked(F.col("a"), F.col("b"), F.col("signature"), distance)
+    met = left.join(right, (F.col("signature") == F.col("shared")) & (F.col("close") | (F.col("a") < F.col("b"))) & near & once)
+    return stars.union(met.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
@@ -102,11 +139,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distanc
 
     The component is the smallest id that the document reaches over links between fingerprints, its own included; null
     ids are passed over, and a component without any other id has null. Repeated rows stay and share a component.
-    Equal fingerprints are one node from the start, so that no pair of copies is ever formed.
+    Equal fingerprints are one node from the start, so that no pair of copies is ever formed, and near ones of a crowd are
+    linked through its centre.
     """
     own = stage(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))), "fingerprints")
     nodes = stage(own.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("least")), "nodes")
-    roots = connected(links(nodes.select("fp"), distance))
+    roots = connected(spanning(nodes.select("fp"), distance))
     rooted = stage(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root")), "rooted")
     least = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     named = stage(rooted.join(least, "root").select("fp", "component_id"), "named")
@@ -123,7 +161,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dis
     own = stage(fingerprints(docs.select(least, key, F.col(text).alias("text"))), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("least")
     nodes = stage(own.groupBy(F.col("fingerprint").alias("fp")).agg(first), "nodes")
-    roots = connected(links(nodes.select("fp"), distance))
+    roots = connected(spanning(nodes.select("fp"), distance))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("least", F.coalesce("component", "fp").alias("root"))
     kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("_id"), F.col("least.key").alias("_key"))
     found = docs.select(row, least, key).join(stage(kept, "kept"), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")

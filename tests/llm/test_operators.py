@@ -247,6 +247,37 @@ def test_links_are_all_pairs_within_the_distance(spark):
     assert got == sorted((a, b) for a in values for b in values if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4)
 
 
+def signed(v):
+    return v - (1 << 64) if v >> 63 else v
+
+
+def test_spanning_links_keep_all_components(spark):
+    rng = random.Random(11)
+    values = {rng.getrandbits(64) for _ in range(40)}
+    for _ in range(12):  # families wider than the distance, so that a crowd's centre does not reach all
+        base = rng.getrandbits(64)
+        for _ in range(25):
+            values.add(base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 5))))
+    fps = spark.createDataFrame([(signed(v),) for v in values], "fp long").cache()
+    full = {(r.a, r.b) for r in simhash.links(fps).collect()}
+    expected = sorted(map(tuple, connected(simhash.links(fps)).collect()))
+    for crowd in (1, 3, 10_000):
+        some = [tuple(r) for r in simhash.spanning(fps, crowd=crowd).collect()]
+        assert len(some) == len(set(some)) and set(some) <= full
+        assert crowd < 10_000 or set(some) == full
+        assert sorted(map(tuple, connected(simhash.spanning(fps, crowd=crowd)).collect())) == expected
+
+
+def test_a_crowd_of_near_copies_is_linked_through_centres(spark):
+    base = random.Random(12).getrandbits(64)
+    pairs = {base ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(64)}  # all within four bits of each other
+    fps = spark.createDataFrame([(signed(v),) for v in pairs], "fp long")
+    assert len(pairs) == 2017
+    found = simhash.spanning(fps).cache()
+    assert found.count() <= 64 * len(pairs)  # of 2,033,136 pairs
+    assert {r.component for r in connected(found).collect()} == {min(map(signed, pairs))}
+
+
 def test_simhash_classes_and_one_of_each(spark, documents):
     classes = {(r.doc_id, r.component_id) for r in simhash.classes(documents).collect()}
     assert {(1, 1), (3, 3), (4, 3), (7, 7), (8, 7), (None, None)} <= classes
