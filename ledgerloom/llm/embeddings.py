@@ -6,19 +6,20 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from ledgerloom.llm.components import connected
 from ledgerloom.session import stage
 
 COSINE = 0.93
 SAMPLE = 8192  # most vectors, in the mean, that centroids are fitted on
-CELL = 2048  # vectors that a cell should have in the mean
+CELL = 256  # n vectors of a label have the power of two next to sqrt(n / CELL) cells
 MOST_CELLS = 256  # most centroids; they are sent to every task (256 x dimensions doubles)
-BLOCK = 1024  # vectors in a block of a cell, in the mean; products are of two blocks
+BLOCK = 4096  # vectors in a block, in the mean; products are of two blocks
+TILE = 1024  # rows of a product that are formed at once
 ROUNDS = 12
 SEED = 42
 
@@ -48,16 +49,28 @@ def centroids(sample: np.ndarray, cells: int, seed: int = SEED) -> np.ndarray:
     return np.unique(centers, axis=0)
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    return np.vstack([np.asarray(v, np.float64) for v in column.to_numpy(zero_copy_only=False)])
+def rows_of(column: pa.Array, n: int) -> np.ndarray:
+    """Lists of n numbers as the rows of a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, n).astype(np.float64, copy=False)
 
 
-def reached(vectors: np.ndarray, centers: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, cell and if it is at home, for each cell in which a vector must be compared.
+def binaries(vectors: np.ndarray) -> pa.Array:
+    """The bytes of each row."""
+    offsets = np.arange(len(vectors) + 1, dtype=np.int32) * np.int32(vectors.itemsize * vectors.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(vectors), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(vectors))])
 
-    A vector's home is the nearest centroid. A partner at home in cell i lies beyond the plane between the two
-    centroids, so the vector is at most the chord of the threshold away from that plane, or has no partner there. Of
-    two homes, the pair is compared in the cell with the lower number: a vector only visits cells below its own.
+
+def numbers(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
+    """Of all rows together, of what ``binaries`` made of them."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+
+def reached(vectors: np.ndarray, centers: np.ndarray, cosine: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The cell in which each vector is at home, and the other cells in which it must be compared.
+
+    A vector's home is the nearest centroid. A partner at home in cell i lies beyond the plane between the two centroids, so the vector is at most the chord of
+    the threshold away from that plane, or has no partner there. Of two homes, the pair is compared in the cell with the
+    lower number: a vector only visits cells below its own.
     """
     close = vectors @ centers.T
     home = close.argmax(axis=1)
@@ -65,33 +78,42 @@ def reached(vectors: np.ndarray, centers: np.ndarray, cosine: float) -> tuple[np
     chord = math.sqrt(2 - 2 * cosine) + 1e-9
     near = close[np.arange(len(home)), home][:, None] - close <= chord * apart + 1e-9
     near &= np.arange(len(centers))[None, :] < home[:, None]
-    near[np.arange(len(home)), home] = True
-    row, cell = np.nonzero(near)
-    return row, cell, home[row] == cell
-
-
-def in_block(rows: pd.DataFrame, cosine: float, own: bool) -> pd.DataFrame:
-    """``node, links, least`` of the vectors of a product that have a link: how many copies each links to (``links``
-    counts the partners' copies), and the smallest node that it reaches by the product's links."""
-    rows = rows.sort_values("node", kind="stable")
-    vectors = np.vstack(rows["vector"].to_numpy())
-    home, side, copies, node = (rows[c].to_numpy() for c in ("home", "side", "copies", "node"))
-    linked = vectors @ vectors.T >= cosine
-    linked &= home[:, None] | home[None, :]
+    return home, [np.flatnonzero(x) for x in near]
+
+
+def in_blocks(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...] | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``node, links, least`` of the vectors that have a link: how many copies each links to (``links`` counts the
+    partners' copies), and the smallest node that it reaches by the links found here.
+
+    The two sides are nodes, copies and vectors of each, without a common node; without a right side the left one is
+    compared with itself.
+    """
+    own = right is None
+    (a, a_copies, a_vectors), (b, b_copies, b_vectors) = left, left if own else right
+    linked = np.empty((len(a), len(b)), bool)
+    for start in range(0, len(a), TILE):
+        np.greater_equal(a_vectors[start : start + TILE] @ b_vectors.T, cosine, out=linked[start : start + TILE])
+    if own:
+        linked |= linked.T  # a product need not round as its mirror image does
+        np.fill_diagonal(linked, False)
+    rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    linked = linked[np.ix_(rows, columns)]
+    node, place = np.unique(np.concatenate([a[rows], b[columns]]), return_inverse=True)
+    i, j = place[: len(rows)], place[len(rows) :]
+    links = np.zeros(len(node), np.int64)
+    links[i] = linked @ b_copies[columns]
     if not own:
-        linked &= side[:, None] != side[None, :]
-    np.fill_diagonal(linked, False)
-    links = linked @ copies
-    some = np.flatnonzero(links)
-    linked = linked[np.ix_(some, some)]
-    least = np.arange(len(some))  # rows are in order of their node
-    while len(some):
-        lower = np.minimum(least, np.where(linked, least[None, :], len(some)).min(axis=1))
+        links[j] = a_copies[rows] @ linked
+    least, most = np.arange(len(node), dtype=np.int32), np.int32(len(node))
+    while len(node):
+        lower = least.copy()
+        lower[i] = np.minimum(lower[i], np.where(linked, lower[j][None, :], most).min(axis=1))
+        lower[j] = np.minimum(lower[j], np.where(linked, lower[i][:, None], most).min(axis=0))
         lower = lower[lower]
         if (lower == least).all():
             break
         least = lower
-    return pd.DataFrame({"node": node[some], "links": links[some], "least": node[some][least]})
+    return node, links, node[least]
 
 
 def classes(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:
@@ -103,54 +125,93 @@ def classes(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", la
     zero or with null or non-finite components have no link and are their own component. The component is the
     smallest id reached (null ids passed over); ``kept`` is false for a null id. Repeated rows are copies of each other.
 
-    Centroids are fitted on about ``SAMPLE`` vectors at most; every vector is placed. Blocks of a cell are dealt by a
-    hash of the node, and each pair of blocks is one group, so that neither cells nor labels bound a task's memory.
+    Centroids are fitted on about ``SAMPLE`` vectors at most; every vector is placed. A label has as many cells as its
+    size asks for. Vectors at home in a cell are dealt to blocks by a hash of the node, and a block is one row from then
+    on, as are those of its vectors that visit another cell: blocks are repeated for the products, not vectors. Each
+    pair of blocks is one group, so that neither cells nor labels bound a task's memory.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), F.col(label).cast("string").alias("label"))
+    held = df.select(F.col(vector)).schema[0].dataType
+    dtype = np.float32 if isinstance(held, ArrayType) and isinstance(held.elementType, FloatType) else np.float64  # floats are kept as floats
+    numeric = F.col(vector).cast("array<float>" if dtype is np.float32 else "array<double>")
+    rows = df.select(F.col(vec_id).alias("vec_id"), numeric.alias("vector"), F.col(label).cast("string").alias("label"))
     good = usable(F.col("vector"), F.col("label"))
     name = F.when(good, F.xxhash64("label", "vector"))
     rows = stage(rows.withColumn("vector", F.when(good, F.col("vector"))).withColumn("label", F.when(good, F.col("label"))).withColumn("hash", name), "vectors")
     groups = rows.filter("vector IS NOT NULL").groupBy("hash", "label", "vector").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
     # numbered, not named by the hash: different vectors may share a hash
     nodes = stage(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    total = nodes.count()
+    kind = ["label", "n"]
+    size = F.count(F.lit(1))
+    cells = F.least(F.lit(float(MOST_CELLS)), F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.round(F.log2(F.sqrt(size / CELL))))))
+    sizes = stage(nodes.groupBy("label", F.size("vector").alias("n")).agg(size.alias("size"), cells.cast("int").alias("cells")), "sizes")
+    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     part = min(1.0, SAMPLE / max(total, 1))
     chosen = nodes.filter(F.pmod(F.xxhash64("hash", F.lit(SEED)), F.lit(1 << 30)) < int(part * (1 << 30))).select(F.size("vector").alias("n"), "vector", "hash")
     sample = chosen.orderBy("hash").toPandas()
     by_size = {int(n): unit(np.vstack(x["vector"].to_numpy())) for n, x in sample.groupby("n")}
-    cells = max(1, min(MOST_CELLS, round(total / CELL)))
-    sent = spark.sparkContext.broadcast({n: centroids(x, cells) for n, x in by_size.items()})
+    wanted = [(r.n, r.cells) for r in sizes.select("n", "cells").distinct().collect()]
+    sent = spark.sparkContext.broadcast({(n, k): centroids(by_size[n], k) for n, k in wanted if n in by_size})
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            plain = batch.column(2).to_numpy(zero_copy_only=False)
-            sizes = np.array([len(v) for v in plain])
-            for n in np.unique(sizes):
-                at = np.flatnonzero(sizes == n)
-                vectors = unit(np.vstack(plain[at]))
-                centers = sent.value.get(int(n))
-                centers = vectors[:0] if centers is None else centers
-                row, cell, home = reached(vectors, centers, cosine) if len(centers) else (np.arange(len(at)), np.zeros(len(at), int), np.ones(len(at), bool))
-                for start in range(0, len(row), 8192):
-                    r = row[start : start + 8192]
-                    own = batch.select([0, 1, 3]).take(pa.array(at[r]))
-                    values = [pa.array(list(vectors[r]), pa.list_(pa.float64())), pa.array(np.full(len(r), n), pa.int32()), pa.array(cell[start : start + 8192], pa.int32()), pa.array(home[start : start + 8192])]
-                    yield pa.RecordBatch.from_arrays([*own.columns, *values], names=["node", "label", "copies", "vector", "n", "cell", "home"])
-
-    placed = nodes.select("node", "label", "vector", "copies").mapInArrow(place, "node long, label string, copies long, vector array<double>, n int, cell int, home boolean")
-    placed = stage(placed, "placed")
-    cell_key = ["label", "n", "cell"]
-    counts = stage(placed.groupBy(*cell_key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "cells")
-    dealt = placed.join(counts, cell_key).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
-    paired = dealt.select(*cell_key, "node", "copies", "vector", "home", "block", other)
-    paired = paired.select(*cell_key, F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), F.col("block").alias("side"), "node", "copies", "vector", "home")
-
-    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return in_block(group, cosine, key[3] == key[4])
-
-    found = paired.groupBy(*cell_key, "first", "second").applyInPandas(compare, "node long, links long, least long")
+            key = np.column_stack([batch.column(c).to_numpy() for c in ("n", "cells")])
+            for n, k in np.unique(key, axis=0):
+                own = batch.filter(pa.array((key == (n, k)).all(axis=1)))
+                vectors = rows_of(own.column("vector"), n)
+                centers = sent.value.get((int(n), int(k)))
+                cell, visits = (np.zeros(len(vectors), np.int64), [[]] * len(vectors)) if centers is None else reached(unit(vectors), centers, cosine)
+                columns = [own.column(c) for c in ("node", "copies", "label", "n")]
+                values = [pa.array(cell, pa.int32()), pa.array(visits, pa.list_(pa.int32())), binaries(vectors.astype(dtype))]
+                yield pa.RecordBatch.from_arrays([*columns, *values], names=["node", "copies", "label", "n", "cell", "visits", "vector"])
+
+    placed = nodes.select("node", "copies", "label", F.size("vector").alias("n"), "vector").join(sizes.drop("size"), kind)
+    placed = stage(placed.mapInArrow(place, "node long, copies long, label string, n int, cell int, visits array<int>, vector binary"), "placed")
+    cell_key = [*kind, "cell"]
+    at_home = placed.groupBy(*cell_key).agg(F.ceil(size / BLOCK).alias("blocks"))
+    guests = placed.select(*kind, F.explode("visits").alias("cell")).groupBy(*cell_key).agg(F.ceil(size / BLOCK).alias("rooms"))
+    met = stage(at_home.join(guests, cell_key, "left").withColumn("rooms", F.coalesce("rooms", F.lit(0).cast("long"))), "cells")
+    dealt = placed.join(met, cell_key).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+
+    def pack(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, n, cell, block = (x.as_py() for x in key)
+        rows = pa.Table.from_batches(batches)
+        visits = rows.column("visits").combine_chunks()
+        row, to = np.repeat(np.arange(len(visits)), visits.value_lengths().to_numpy()), visits.flatten().to_numpy()
+        node, copies, vectors = rows.column("node").to_numpy(), rows.column("copies").to_numpy(), numbers(rows.column("vector"), dtype).reshape(-1, n)
+
+        def packed(at: np.ndarray, other: int) -> pa.RecordBatch:
+            held = [np.ascontiguousarray(x[at]).tobytes() for x in (node, copies, vectors)]
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, [label, n, other, other == cell, cell, block, *held], strict=True))], schema)
+
+        yield packed(np.arange(len(node)), cell)
+        for other in np.unique(to).tolist():
+            yield packed(row[to == other], other)
+
+    schema = pa.schema([("label", pa.string()), ("n", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_()), ("of", pa.int32()), ("block", pa.int64()), ("node", pa.binary()), ("copies", pa.binary()), ("vector", pa.binary())])
+    packs = dealt.select(*cell_key, "block", "node", "copies", "visits", "vector").groupBy(*cell_key, "block")
+    packs = packs.applyInArrow(pack, "label string, n int, cell int, home boolean, of int, block long, node binary, copies binary, vector binary")
+    # blocks of a cell meet each other (first <= second) and its rooms, over which the visiting blocks are dealt
+    homes = F.expr("transform(sequence(0L, blocks - 1), x -> struct(least(block, x) AS first, greatest(block, x) AS second, false AS visit))")
+    rooms = F.expr("transform(filter(sequence(0L, rooms), x -> x < rooms), x -> struct(block AS first, x AS second, true AS visit))")
+    visits = F.expr("transform(sequence(0L, blocks - 1), x -> struct(x AS first, pmod(xxhash64(of, block), rooms) AS second, true AS visit))")
+    meets = F.explode(F.when(F.col("home"), F.concat(homes, rooms)).otherwise(visits)).alias("meet")
+    held = ["home", "block", "node", "copies", "vector"]
+    paired = packs.join(met, cell_key).select(*cell_key, meets, *held).select(*cell_key, "meet.*", *held)
+
+    def compare(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        _, n, _, first, second, visit = (x.as_py() for x in key)
+        left = np.array([h and b == first for h, b in zip(rows.column("home").to_pylist(), rows.column("block").to_pylist(), strict=True)])
+
+        def side(at: np.ndarray) -> tuple[np.ndarray, ...]:
+            held = rows.filter(pa.array(at))
+            vectors = numbers(held.column("vector"), dtype).astype(np.float64).reshape(-1, n)
+            return numbers(held.column("node"), np.int64), numbers(held.column("copies"), np.int64), unit(vectors)
+
+        found = in_blocks(side(left), None if first == second and not visit else side(~left), cosine)
+        return pa.table(dict(zip(("node", "links", "least"), map(pa.array, found), strict=True)))
+
+    found = paired.groupBy(*cell_key, "first", "second", "visit").applyInArrow(compare, "node long, links long, least long")
     found = stage(found, "found")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected(found.select(F.col("node").alias("a"), F.col("least").alias("b")))

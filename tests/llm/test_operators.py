@@ -316,6 +316,57 @@ def test_embedding_classes(spark, monkeypatch, block):
     assert embeddings.classes(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [4096, 100])
+def test_embedding_vectors_are_not_repeated_for_each_cell(spark, monkeypatch, block):
+    """Without clusters a vector must be compared in nearly all cells below its own; it is stored once for all of them."""
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "CELL", 8)
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(2400, 32)).astype(np.float32)
+    for i in range(0, 2400, 4):  # each is close to one of another number, so chains arise
+        vectors[i] = vectors[rng.integers(2400)] + rng.normal(size=32) * 0.15
+    labels = rng.integers(2, size=2400)
+    df = spark.createDataFrame([(i, v.tolist(), int(x)) for i, (v, x) in enumerate(zip(vectors, labels, strict=True))], "vec_id long, embedding array<float>, label int")
+    stored = {}
+
+    def counted(frame, name="stage", plain=embeddings.stage):
+        found = plain(frame, name)
+        stored[name] = found.count()
+        return found
+
+    monkeypatch.setattr(embeddings, "stage", counted)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.classes(df).collect()}
+    unit = vectors.astype(np.float64) / np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.93) & (labels[:, None] == labels[None, :]) & ~np.eye(2400, dtype=bool)
+    least = np.arange(2400)
+    while (lower := np.minimum(least, np.where(linked, least[None, :], 2400).min(axis=1))).tolist() != least.tolist():
+        least = lower
+    assert linked.sum() > 500 and got == {i: (int(linked[i].sum()), int(least[i])) for i in range(2400)}
+    assert stored["placed"] == 2400 and max(stored.values()) <= 2400
+
+
+def test_embedding_products_of_two_blocks(monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 7)
+    rng = np.random.default_rng(4)
+    vectors = embeddings.unit(np.cumsum(rng.normal(size=(60, 3)) * 0.2, axis=0) + 1)  # a walk: long chains
+    node, copies = rng.permutation(60).astype(np.int64) * 10, rng.integers(1, 4, 60)
+    side = lambda at: (node[at], copies[at], vectors[at])
+    first, second = np.arange(0, 60, 2), np.arange(1, 60, 2)
+    for left, right in ((np.arange(60), None), (first, second), (first, first[:0]), (first[:0], second)):
+        linked = vectors @ vectors.T >= 0.98
+        np.fill_diagonal(linked, False)
+        if right is not None:
+            linked &= np.isin(np.arange(60), left)[:, None] & np.isin(np.arange(60), right)[None, :]
+            linked |= linked.T
+        least = node.copy()
+        for _ in range(60):
+            least = np.minimum(least, np.where(linked, least[None, :], 10_000).min(axis=1))
+        expected = {(int(node[i]), int(copies[linked[i]].sum()), int(least[i])) for i in np.flatnonzero(linked.any(axis=1))}
+        found = embeddings.in_blocks(side(left), None if right is None else side(right), 0.98)
+        assert set(zip(*(x.tolist() for x in found), strict=True)) == expected
+        assert bool(expected) == bool(len(left) and (right is None or len(right)))
+
+
 # Suffixes
 
 
