@@ -18,8 +18,9 @@ COSINE = 0.93
 SAMPLE = 8192  # most vectors, in the mean, that centroids are fitted on
 CELL = 256  # n vectors of a label have the power of two next to sqrt(n / CELL) cells
 MOST_CELLS = 256  # most centroids; they are sent to every task (256 x dimensions doubles)
-BLOCK = 4096  # vectors in a block, in the mean; products are of two blocks
-TILE = 1024  # rows of a product that are formed at once
+BLOCK = 16384  # most vectors in a block, in the mean; products are of two blocks
+NUMBERS = 1 << 20  # most components of a block's vectors, in the mean
+TILE = 1024  # rows and columns of a product that are formed at once
 ROUNDS = 12
 SEED = 42
 
@@ -89,31 +90,36 @@ def in_blocks(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...] | None
     compared with itself.
     """
     own = right is None
-    (a, a_copies, a_vectors), (b, b_copies, b_vectors) = left, left if own else right
-    linked = np.empty((len(a), len(b)), bool)
-    for start in range(0, len(a), TILE):
-        np.greater_equal(a_vectors[start : start + TILE] @ b_vectors.T, cosine, out=linked[start : start + TILE])
-    if own:
-        linked |= linked.T  # a product need not round as its mirror image does
-        np.fill_diagonal(linked, False)
-    rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
-    linked = linked[np.ix_(rows, columns)]
-    node, place = np.unique(np.concatenate([a[rows], b[columns]]), return_inverse=True)
-    i, j = place[: len(rows)], place[len(rows) :]
+    node, copies, vectors = left if own else (np.concatenate(x) for x in zip(left, right, strict=True))
+    split = 0 if own else len(left[0])
     links = np.zeros(len(node), np.int64)
-    links[i] = linked @ b_copies[columns]
-    if not own:
-        links[j] = a_copies[rows] @ linked
-    least, most = np.arange(len(node), dtype=np.int32), np.int32(len(node))
-    while len(node):
+    parts = []
+    for i in range(0, split or own * len(node), TILE):
+        for j in range(i if own else split, len(node), TILE):
+            linked = vectors[i : min(i + TILE, split or len(node))] @ vectors[j : j + TILE].T >= cosine
+            if i == j:  # each pair once
+                linked = np.triu(linked, 1)
+            if linked.any():
+                rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+                linked, rows, columns = linked[np.ix_(rows, columns)], rows + i, columns + j
+                links[rows] += linked @ copies[columns]
+                links[columns] += copies[rows] @ linked
+                parts.append((rows, columns, linked))
+    some = np.flatnonzero(links)
+    some = some[np.argsort(node[some])]
+    rank = np.zeros(len(node), np.int32)
+    rank[some] = np.arange(len(some))
+    least, most = np.arange(len(some), dtype=np.int32), np.int32(len(some))
+    while True:
         lower = least.copy()
-        lower[i] = np.minimum(lower[i], np.where(linked, lower[j][None, :], most).min(axis=1))
-        lower[j] = np.minimum(lower[j], np.where(linked, lower[i][:, None], most).min(axis=0))
+        for rows, columns, linked in parts:
+            x, y = rank[rows], rank[columns]
+            lower[x] = np.minimum(lower[x], np.where(linked, lower[y][None, :], most).min(axis=1))
+            lower[y] = np.minimum(lower[y], np.where(linked, lower[x][:, None], most).min(axis=0))
         lower = lower[lower]
         if (lower == least).all():
-            break
+            return node[some], links[some], node[some][least]
         least = lower
-    return node, links, node[least]
 
 
 def classes(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label", cosine: float = COSINE) -> DataFrame:
@@ -168,8 +174,9 @@ def classes(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", la
     placed = nodes.select("node", "copies", "label", F.size("vector").alias("n"), "vector").join(sizes.drop("size"), kind)
     placed = stage(placed.mapInArrow(place, "node long, copies long, label string, n int, cell int, visits array<int>, vector binary"), "placed")
     cell_key = [*kind, "cell"]
-    at_home = placed.groupBy(*cell_key).agg(F.ceil(size / BLOCK).alias("blocks"))
-    guests = placed.select(*kind, F.explode("visits").alias("cell")).groupBy(*cell_key).agg(F.ceil(size / BLOCK).alias("rooms"))
+    blocks = F.ceil(size / F.greatest(F.lit(1.0), F.least(F.lit(float(BLOCK)), F.lit(NUMBERS) / F.col("n"))))
+    at_home = placed.groupBy(*cell_key).agg(blocks.alias("blocks"))
+    guests = placed.select(*kind, F.explode("visits").alias("cell")).groupBy(*cell_key).agg(blocks.alias("rooms"))
     met = stage(at_home.join(guests, cell_key, "left").withColumn("rooms", F.coalesce("rooms", F.lit(0).cast("long"))), "cells")
     dealt = placed.join(met, cell_key).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
 
