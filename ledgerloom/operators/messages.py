@@ -139,32 +139,63 @@ def keyword_flag(texts: DataFrame, owner: str, text: str, words: Sequence[str],
     return texts.groupBy(owner).agg(F.bool_or(contains_words(F.col(text), words)).alias(name))
 
 
-TOKEN = "[0-9A-Za-z_]+"  # what word borders part
+INSIDE, OUTSIDE = r"\w", r"\W"  # what word borders part: ASCII letters, digits and _; written as ranges the JVM takes ten times as long
+
+# Letters that differ from these in lower case only, and a pattern that texts without them seldom fit.
+VARIANTS, LETTERS = "µςϐϑϕϖϰϱϵẛᲀᲁᲂᲃᲄᲅᲆᲇᲈͅι", "μσβθφπκρεṡвдосттъѣꙋιι"
+VARIED = r"[\xB5\x{345}-\x{1FBE}]"
+
+WINDOW = 3  # runs
+
+
+def _folded(texts: DataFrame, name: str) -> DataFrame:
+    """Text in lower case, one letter for its variants."""
+    lowered = texts.withColumn(name, F.lower(name))
+    return lowered.withColumn(name, F.when(F.col(name).rlike(VARIED), F.translate(name, VARIANTS, LETTERS)).otherwise(F.col(name)))
+
+
+def _windows(token: bool, runs: int) -> str:
+    """Pattern whose group 1 is so many whole runs, tokens and what parts them in turn, the first a token or not. A window
+    begins at every run of its kind; each is read twice at most, and nothing is tried again from within a token."""
+    run = [f"{c}++" for c in ((INSIDE, OUTSIDE) if token else (OUTSIDE, INSIDE))] * 2
+    start, end = f"(?<!{INSIDE})" if token else f"(?<={INSIDE})", f"(?={INSIDE})" if token == (runs % 2 == 0) else ""
+    window = f"({''.join(run[:runs])}){end}"
+    return start + (window if runs < WINDOW else f"(?={window}){run[0]}{run[1]}")
 
 
 def keyword_flags(texts: DataFrame, owner: str, text: str, words: DataFrame, name: str) -> DataFrame:
     """As :func:`keyword_flag`, with the words in a table (``word``) of any size.
 
-    A word is filed under its longest token, and texts meet words by the tokens they hold, an equality join. A word that is
-    one token is found by that; phrases and words with other characters are then verified in the text. Words without a
-    token are tried on every text. Null and empty words find nothing.
+    Word borders at both ends leave a word only whole runs of the text: tokens and what stands between two of them. Texts
+    are cut into windows of one to three runs, of the kinds that the words are of, and meet the words by an equality join,
+    which settles all of up to three runs. A longer word is filed under its longest window of two tokens, and texts that
+    hold it are searched for the word. Null and empty words find nothing.
     """
-    lowered = F.lower(F.col("word"))
-    tokens = F.array_sort(F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0)), lambda a, b: F.length(b) - F.length(a))
-    known = words.select("word").where("word <> ''").distinct().select(lowered.alias("word"), F.coalesce(F.get(tokens, F.lit(0)), F.lit("")).alias("token")).distinct()
-    known = known.withColumn("whole", F.col("word") == F.col("token"))
-    own = stage(texts.where(F.col(text).isNotNull()).select(F.col(owner).alias("owner"), F.lower(F.col(text)).alias("text")), "texts")
-    own = own.withColumn("text_key", F.md5("text"))
-    held = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))))
-    met = own.select("owner", "text_key", F.explode(held).alias("token")).join(known, "token")
-    sure = met.where("whole").select("owner")
-    side = lambda c: F.when(c.rlike("[0-9A-Za-z_]"), "!").otherwise("=")
-    quoted = F.regexp_replace("word", r"([^0-9A-Za-z_\x80-\x{10FFFF}])", r"\\$1")
-    before, after = side(F.substring("word", 1, 1)), side(F.substring(F.col("word"), F.lit(-1), F.lit(1)))
-    pattern = F.concat(F.lit("(?iu)(?<"), before, F.lit("[0-9A-Za-z_])"), quoted, F.lit("(?"), after, F.lit("[0-9A-Za-z_])"))
-    maybe = met.where("NOT whole").select("text_key", pattern.alias("pattern")).distinct()
-    verified = maybe.join(own, "text_key").where(F.rlike("text", F.col("pattern"))).select("owner")
-    hits = sure.union(verified).distinct().select(F.col("owner").alias("_owner"), F.lit(True).alias("_hit"))
-    any_text = texts.groupBy(owner).agg(F.bool_or(F.col(text).isNotNull()).alias("_any"))
-    flag = F.coalesce("_hit", F.when(F.col("_any"), False))
-    return any_text.join(hits, F.col(owner).eqNullSafe(F.col("_owner")), "left").select(owner, flag.alias(name))
+    spark = texts.sparkSession
+    known = _folded(words.select("word").where("word <> ''"), "word").union(spark.range(1).select(F.lit("")))  # "" stands for any text
+    runs = F.size(F.regexp_extract_all("word", F.lit(f"{INSIDE}+|{OUTSIDE}+"), F.lit(0)))
+    known = stage(known.distinct().select("word", runs.alias("runs"), F.col("word").rlike(f"^{INSIDE}").alias("token")), "words")
+    kinds = {(k.token, k.runs) for k in known.select("token", F.least("runs", F.lit(WINDOW + 1)).alias("runs")).distinct().collect()}
+    longer = any(runs > WINDOW for _, runs in kinds)
+
+    own = _folded(texts.select(F.col(owner).alias("owner"), F.col(text).alias("text")), "text")
+    own = stage(own, "texts") if longer else own  # then read twice more
+    windows = lambda token, runs, c="text": F.regexp_extract_all(c, F.lit(_windows(token, runs)), F.lit(1))
+    held = [F.coalesce(windows(*k), F.array().cast("array<string>")) for k in sorted(kinds) if 1 <= k[1] <= WINDOW]
+    met = own.select("owner", F.col("text").isNotNull().alias("any"), F.array_distinct(F.concat(F.array(F.lit("")), *held)).alias("held"))
+    # (explode would have every window cut twice more, by the filter that the planner infers from it)
+    found = met.select("owner", "any", F.explode_outer("held").alias("word")).join(known.where(F.col("runs") <= WINDOW).select("word"), "word")
+    flags = found.select("owner", F.when(F.col("word") != "", True).when(F.col("any"), False).alias("flag"))
+    if longer:
+        longest = F.get(F.array_sort(windows(True, WINDOW, "word"), lambda a, b: F.length(b) - F.length(a)), F.lit(0))
+        filed = known.where(F.col("runs") > WINDOW).select("word", longest.alias("window"))
+        keyed = own.where("text IS NOT NULL").withColumn("text_key", F.md5("text"))
+        maybe = keyed.select("text_key", F.array_distinct(windows(True, WINDOW)).alias("held")).select("text_key", F.explode_outer("held").alias("window"))
+        maybe = maybe.join(filed, "window").select("text_key", "word").distinct()
+        side = lambda c: F.when(c.rlike(INSIDE), "!").otherwise("=")
+        quoted = F.regexp_replace("word", r"([^0-9A-Za-z_\x80-\x{10FFFF}])", r"\\$1")
+        before, after = side(F.substring("word", 1, 1)), side(F.substring(F.col("word"), F.lit(-1), F.lit(1)))
+        pattern = F.concat(F.lit("(?<"), before, F.lit(INSIDE + ")"), quoted, F.lit("(?"), after, F.lit(INSIDE + ")"))
+        verified = maybe.join(keyed, "text_key").where(F.contains("text", "word") & F.rlike("text", pattern))
+        flags = flags.union(verified.select("owner", F.lit(True)))
+    return flags.groupBy("owner").agg(F.bool_or("flag").alias("flag")).select(F.col("owner").alias(owner), F.col("flag").alias(name))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from urllib.parse import urlparse
 
 import pyarrow.parquet as pq
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import checks, messages
 from ledgerloom.operators import incremental as inc
+from ledgerloom.session import settings
 from ledgerloom.sources import tables
 
 DAY = [dt.date(2024, 1, d) for d in range(1, 8)]
@@ -72,6 +74,33 @@ def test_words_in_a_table_find_what_one_pattern_finds(spark):
     assert set(got(messages.keyword_flags(df, "owner", "text", table([None]), "flag")).values()) == {False, None}
 
 
+def test_phrases_meet_texts_in_one_join(spark):
+    rng = random.Random(5)
+    signs = ["der", "und", "x_1", "ü", "σ", "%", ".", ". ", " ", " ", "-", "\n", "(", "\\"]
+    made = lambda most: "".join(rng.choice(signs) for _ in range(rng.randrange(1, most)))
+    texts = [(i % 90, made(14)) for i in range(300)] + [(100, "a" * 300_000 + "-" * 300_000), (101, " " * 300_000 + "Der UND"), (102, None), (None, "der und der.")]
+    df = spark.createDataFrame(texts, "owner int, text string")
+    table = lambda w: spark.createDataFrame([(x,) for x in w], "word string")
+
+    def plain(words):
+        found = {}
+        for owner, text in texts:
+            hit = None if text is None else any(re.search(rf"\b{re.escape(w)}\b", text.lower(), re.ASCII) for w in words)
+            found[owner] = max(filter(lambda x: x is not None, (hit, found.get(owner))), default=None)
+        return found
+
+    short = ["der und", "und", "der. der", "x_1%der", " ", "%", "der ", " x_1", "-der-"]
+    longer = ["der und der", "der und der.", " der und", ". der-und", "x_1üder.", "σ und% "] + [made(8) for _ in range(9)]
+    for words, joins in ((short, 1), (longer, 3), (short + longer, 3)):
+        flagged = messages.keyword_flags(df, "owner", "text", table(words), "flag")
+        assert flagged._jdf.queryExecution().optimizedPlan().toString().count("Join") == joins  # texts are searched for longer words only
+        assert {r.owner: r.flag for r in flagged.collect()} == plain(words)
+        with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+            assert {r.owner: r.flag for r in messages.keyword_flags(df, "owner", "text", table(words), "flag").collect()} == plain(words)
+    for word in [*short, *longer[:4]]:
+        assert {r.owner: r.flag for r in messages.keyword_flags(df, "owner", "text", table([word]), "flag").collect()} == plain([word]), word
+
+
 def test_quantiles_of_merged_states(spark):
     rng = random.Random(4)
     data = [(d, float(rng.gauss(0, 10)), rng.randrange(1000)) for d in range(20) for _ in range(300)]
